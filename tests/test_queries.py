@@ -1,0 +1,53 @@
+"""Every registered query against its SQL in DuckDB, over whole tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+from conftest import SF_DIR
+
+TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
+QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
+    return connection
+
+
+def _content(table):
+    columns = sorted(table.column_names)
+    values = [table.column(name).to_pylist() for name in columns]
+    return columns, sorted(zip(*values), key=repr)
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {
+        "kmeans_pickup",
+        "kmeans_dropoff",
+        "model_linear",
+        "model_tree",
+        "model_forest",
+        "model_evaluation",
+    }
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, duck, name):
+    found = QUERIES[name](spark, SF_DIR).toArrow()
+    expected = duck.sql(ORACLES[name]).to_arrow_table()
+    assert found.num_rows > 0
+    kinds = {field.name: str(field.type).removeprefix("large_") for field in expected.schema}
+    assert {f.name: str(f.type).removeprefix("large_") for f in found.schema} == kinds
+    assert _content(found) == _content(expected)
+
+
+def test_entry(spark):
+    flagship = entry_points.entry(spark)
+    assert flagship.columns[:2] == ["year", "total_trips"]
+    assert flagship.count() == 7

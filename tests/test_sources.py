@@ -1,0 +1,78 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.checks.fixtures import land_green, land_mixed_layouts
+from tripmart.operators.filters import complete_trips
+from tripmart.schemas import GREEN_RENAMES, RAW_TRIP, ZONE_LOOKUP, check_contract
+from tripmart.sources.normalise import after_year, new_periods, read_files, with_period
+from tripmart.sources.trips import batch_path, parse_year, read_zones
+from tripmart.storage import new_folder
+
+
+@pytest.fixture(scope="module")
+def trips(raw):
+    return raw.select(*RAW_TRIP.names)
+
+
+def test_zone_header_must_match(spark, zones):
+    path = new_folder(spark, "zones")
+    zones.select("LocationID", "borough", "zone", "service_zone").write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="column in CSV header is not equal"):
+        read_zones(spark, path).collect()
+
+
+def test_incomplete_zone_rows_are_dropped(spark, zones):
+    path = new_folder(spark, "zones")
+    gap = F.when(F.col("LocationID") == 3, None).otherwise(F.col("borough"))
+    zones.withColumn("borough", gap).write.option("header", True).csv(path)
+    assert read_zones(spark, path).count() == zones.count() - 1
+
+
+def test_years_are_checked():
+    assert parse_year(" 2015 ") == 2015
+    assert batch_path("/raw/", "2015") == "/raw/2015"
+    for wrong in ("2015-01", "", "x", "0"):
+        with pytest.raises(ValueError):
+            parse_year(wrong)
+
+
+def test_not_a_number_counts_as_missing(trips):
+    spoiled = trips.withColumn("extra", F.lit(float("nan")))
+    assert complete_trips(spoiled).count() == 0
+
+
+def test_mixed_layouts_become_one(spark, trips, rows):
+    merged = read_files(spark, land_mixed_layouts(spark, trips))
+    assert merged.schema == RAW_TRIP
+    assert rows(merged) == rows(complete_trips(trips))
+
+
+def test_green_columns_are_renamed(spark, trips, rows):
+    green = read_files(spark, [land_green(spark, trips)], GREEN_RENAMES)
+    assert rows(green) == rows(complete_trips(trips))
+
+
+def test_missing_column_is_named(spark, trips):
+    with pytest.raises(ValueError, match="tip_amount: expected double, found nothing"):
+        check_contract(trips.drop("tip_amount"), RAW_TRIP)
+    with pytest.raises(ValueError):
+        check_contract(trips, ZONE_LOOKUP)
+
+
+def test_period_comes_from_the_file_name(spark):
+    names = ["/a/yellow_tripdata_2023-07.parquet", "/a/yellow_tripdata_x.parquet", "/a/zones.csv"]
+    files = spark.createDataFrame([(name,) for name in names], "src_file string")
+    found = [(r["year"], r["month"]) for r in with_period(files).orderBy("src_file").collect()]
+    assert sorted(found, key=str) == [(2023, 7), (None, None), (None, None)]
+
+
+def test_new_periods_compare_year_and_month(spark):
+    landed = spark.createDataFrame(
+        [(2023, 12), (2024, 1), (2024, 2), (2010, 5)], "year int, month int"
+    )
+    loaded = spark.createDataFrame([(2023, 12), (2023, 3)], "year int, month int")
+    found = [tuple(row) for row in new_periods(landed, loaded, 2024).orderBy("month").collect()]
+    assert found == [(2024, 1), (2024, 2)]
+    nothing = loaded.limit(0)
+    assert new_periods(landed, nothing, 2024).count() == 2
+    assert after_year(landed).filter("year = 2010").count() == 0

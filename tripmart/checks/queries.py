@@ -13,7 +13,7 @@ from tripmart.operators import changes, filters, keys, sinks
 from tripmart.plans import marts, models
 from tripmart.plans import warehouse as wh
 from tripmart.sources import normalise, trips
-from tripmart.storage import new_folder
+from tripmart.storage import new_folder, remove_folder
 from tripmart.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,8 @@ def normalize_write(spark, sf_dir):
     staging = new_folder(spark, "normalised")
     areas = land_mixed_layouts(spark, _raw(spark, sf_dir))
     sinks.write_parquet(normalise.read_files(spark, areas), staging)
+    for area in areas:
+        remove_folder(spark, area)
     return trips.read_trips(spark, staging)
 
 

@@ -18,6 +18,7 @@ from tripmart.operators.changes import latest_versions, new_rows
 from tripmart.operators.filters import valid_trips
 from tripmart.operators.keys import assign_key, number_rows
 from tripmart.operators.sinks import write_parquet
+from tripmart.schemas import check_contract
 from tripmart.sources.trips import require_unique
 from tripmart.storage import read_or_empty, remove_folder
 
@@ -26,10 +27,10 @@ PAIR = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
 # Calendar columns kept on the fact beside its contract columns. They take few values and
 # pack into some bits per row, and spare readers a join with a dimension that has about
 # as many rows as the fact.
-FACT_CALENDAR = T.StructType.fromDDL(
+FACT_CALENDAR = schemas.struct(
     "pick_year int, pick_hour double, pick_weekday_id int, drop_hour double, drop_weekday_id int"
 )
-LOADS = T.StructType.fromDDL("load_id bigint, next_trip_id bigint, next_datetime_id bigint")
+LOADS = schemas.struct("load_id bigint, next_trip_id bigint, next_datetime_id bigint")
 
 
 @dataclass(frozen=True, eq=False)
@@ -177,6 +178,8 @@ def load_batch(
     load again replaces it; loads are numbered upwards.
     """
     spark = trips.sparkSession
+    check_contract(trips, schemas.RAW_TRIP)
+    check_contract(zones, schemas.ZONE_LOOKUP)
     root = root.rstrip("/")
     staging = f"{root}/staging/load_id={int(load_id)}"
     before = Warehouse(spark, root, before_load=load_id)
@@ -191,12 +194,13 @@ def load_batch(
         path = f"{root}/{table.name}/{LOAD_ID}={int(load_id)}"
         return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
 
-    seen_pairs = before.dim_datetime()
-    if years:
-        seen_pairs = seen_pairs.filter(F.col("pick_year").between(*years))
     pairs = distinct_pairs(valid)
+    known = before.dim_datetime().limit(0)
     if before.last_load is not None:
-        pairs = pairs.join(seen_pairs.select(*PAIR), PAIR, "left_anti")
+        write_parquet(pairs, f"{staging}/distinct")
+        pairs = spark.read.schema(pairs.schema).parquet(f"{staging}/distinct")
+        known = _stored_pairs(before.dim_datetime(), pairs)
+        pairs = pairs.join(known, PAIR, "left_anti")
     keyed_pairs, next_datetime = assign_key(
         pairs, PAIR, "datetime_id", before.next_datetime_id, f"{staging}/pairs"
     )
@@ -207,7 +211,7 @@ def load_batch(
     )
     if require_known_zone:
         keyed = known_zones(keyed, zones)
-    store(build_fact(keyed, stored(DATETIME).unionByName(seen_pairs)), FACT)
+    store(build_fact(keyed, stored(DATETIME).unionByName(known)), FACT)
 
     # Codes come from the stored fact, whose columns are read one by one, unless the fact
     # has lost trips whose codes count.
@@ -227,6 +231,17 @@ def load_batch(
     return Warehouse(spark, root)
 
 
+def _stored_pairs(dim_datetime: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The stored rows of a batch's pairs, read from the months the batch spans."""
+    month = F.col("pick_year") * 12 + F.col("pick_month")
+    pickup = F.col(PAIR[0])
+    batch_month = F.year(pickup) * 12 + F.month(pickup)
+    first, last = pairs.agg(F.min(batch_month), F.max(batch_month)).first()
+    if first is None:
+        return dim_datetime.limit(0)
+    return dim_datetime.filter(month.between(first, last)).join(pairs, PAIR, "left_semi")
+
+
 def _occurring_codes(rows: DataFrame, folder: str) -> dict[str, DataFrame]:
     """Distinct values of the five code columns, found in one pass and written once."""
     sources = {

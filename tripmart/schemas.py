@@ -3,8 +3,23 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """A struct of nullable columns given as ``name type, ...``; needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
 # Names and types of the input files.
-RAW_TRIP = T.StructType.fromDDL("""
+RAW_TRIP = struct("""
     VendorID bigint,
     tpep_pickup_datetime timestamp_ntz,
     tpep_dropoff_datetime timestamp_ntz,
@@ -22,7 +37,7 @@ RAW_TRIP = T.StructType.fromDDL("""
     tolls_amount double,
     total_amount double
 """)
-ZONE_LOOKUP = T.StructType.fromDDL("""
+ZONE_LOOKUP = struct("""
     LocationID bigint,
     X double,
     Y double,
@@ -32,7 +47,7 @@ ZONE_LOOKUP = T.StructType.fromDDL("""
 """)
 
 # Names and types of the stored tables.
-FACT_TRIP = T.StructType.fromDDL("""
+FACT_TRIP = struct("""
     trip_id bigint,
     vendor_id bigint,
     datetimestamp_id bigint,
@@ -49,7 +64,7 @@ FACT_TRIP = T.StructType.fromDDL("""
     tolls_amount double,
     total_amount double
 """)
-DIM_DATETIME = T.StructType.fromDDL("""
+DIM_DATETIME = struct("""
     tpep_pickup_datetime timestamp_ntz,
     tpep_dropoff_datetime timestamp_ntz,
     datetime_id bigint,
@@ -66,15 +81,15 @@ DIM_DATETIME = T.StructType.fromDDL("""
     drop_weekday string,
     drop_weekday_id int
 """)
-DIM_PICKUP_LOCATION = T.StructType.fromDDL(
+DIM_PICKUP_LOCATION = struct(
     "PULocationID bigint, X double, Y double, zone string, borough string, service_zone string"
 )
-DIM_DROPOFF_LOCATION = T.StructType.fromDDL(
+DIM_DROPOFF_LOCATION = struct(
     "DOLocationID bigint, X double, Y double, zone string, borough string, service_zone string"
 )
-DIM_RATE_CODE = T.StructType.fromDDL("RatecodeID bigint, rate_code_name string")
-DIM_PAYMENT = T.StructType.fromDDL("payment_type bigint, payment_type_name string")
-DIM_VENDOR = T.StructType.fromDDL("VendorID bigint, vendor_name string")
+DIM_RATE_CODE = struct("RatecodeID bigint, rate_code_name string")
+DIM_PAYMENT = struct("payment_type bigint, payment_type_name string")
+DIM_VENDOR = struct("VendorID bigint, vendor_name string")
 
 # Code labels. Codes outside these tables are unknown.
 RATE_CODE_NAMES = {
