@@ -217,8 +217,8 @@ def load_batch(
     # has lost trips whose codes count.
     occurring = valid if require_known_zone else stored(FACT)
     codes = _occurring_codes(occurring, f"{staging}/codes")
-    found = {table: build_dim_location(codes[table.name], zones, table) for table in (PICKUP, DROPOFF)}
-    found |= {table: build_dim_code(codes[table.name], table) for table in (RATE_CODE, PAYMENT, VENDOR)}
+    found = {table: build_dim_location(codes[table], zones, table) for table in (PICKUP, DROPOFF)}
+    found |= {table: build_dim_code(codes[table], table) for table in (RATE_CODE, PAYMENT, VENDOR)}
     with ThreadPoolExecutor(len(found)) as jobs:
         list(jobs.map(lambda t: store(new_rows(found[t], before.current(t)), t), found))
 
@@ -242,7 +242,7 @@ def _stored_pairs(dim_datetime: DataFrame, pairs: DataFrame) -> DataFrame:
     return dim_datetime.filter(month.between(first, last)).join(pairs, PAIR, "left_semi")
 
 
-def _occurring_codes(rows: DataFrame, folder: str) -> dict[str, DataFrame]:
+def _occurring_codes(rows: DataFrame, folder: str) -> dict[Table, DataFrame]:
     """Distinct values of the five code columns, found in one pass and written once."""
     sources = {
         PICKUP: ("PULocationID", "pu_location_id"),
@@ -251,21 +251,22 @@ def _occurring_codes(rows: DataFrame, folder: str) -> dict[str, DataFrame]:
         PAYMENT: ("payment_type", "payment_id"),
         VENDOR: ("VendorID", "vendor_id"),
     }
+    # Numbers as tags keep the grouping keys of fixed width.
     tagged = [
         F.struct(
-            F.lit(table.name).alias("dim"),
-            F.col(names[0] if names[0] in rows.columns else names[1]).alias("code"),
+            F.lit(tag).alias("tag"),
+            F.col(raw if raw in rows.columns else stored).alias("code"),
         )
-        for table, names in sources.items()
+        for tag, (raw, stored) in enumerate(sources.values())
     ]
     codes = rows.select(F.inline(F.array(*tagged))).distinct()
     write_parquet(codes, folder)
-    found = rows.sparkSession.read.schema("dim string, code bigint").parquet(folder)
+    found = rows.sparkSession.read.schema("tag int, code bigint").parquet(folder)
     return {
-        table.name: found.filter(F.col("dim") == table.name).select(
+        table: found.filter(F.col("tag") == tag).select(
             F.col("code").alias(table.schema.names[0])
         )
-        for table in sources
+        for tag, table in enumerate(sources)
     }
 
 
