@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from tripmart import schemas
 from tripmart.checks.queries import QUERIES
 from tripmart.operators.filters import paid, picked_up_in, valid_trips
+from tripmart.operators.joins import hot_keys
 from tripmart.operators.keys import number_rows
 from tripmart.operators.sinks import write_bucketed, write_parquet
 from tripmart.plans import marts
 from tripmart.plans.models import trip_features
-from tripmart.plans.warehouse import PAIR, build_dim_datetime, build_fact, distinct_pairs
-from tripmart.sources.trips import read_trips, with_source_row
+from tripmart.plans.warehouse import PAIR, build_dim_datetime, build_fact, counted_pairs
 from tripmart.storage import new_folder
 
 from conftest import SF_DIR
@@ -56,25 +56,28 @@ def test_numbering_does_not_shuffle_the_rows(spark, raw, plan):
     assert "BroadcastHashJoin" in text
 
 
-def test_hot_pair_is_split_in_the_fact_join(spark, raw, conf, plan):
+def test_hot_pair_is_split_in_the_fact_join(spark, raw, conf, rows):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
     trips = valid_trips(raw).select(*schemas.RAW_TRIP.names)
-    hot = trips.limit(1).crossJoin(spark.range(60_000)).drop("id").withColumn("extra", F.rand(1))
-    path = new_folder(spark, "skewed")
-    write_parquet(trips.unionByName(hot), path, files=8)
-    scan = with_source_row(read_trips(spark, path)).repartition(16)
-    dates = build_dim_datetime(distinct_pairs(scan).withColumn("datetime_id", F.xxhash64(*PAIR)))
-    path = new_folder(spark, "dates")
-    write_parquet(dates, path)
-    conf(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-    )
-    keyed = scan.withColumn("trip_id", F.col("src_row"))
-    fact = build_fact(keyed, spark.read.schema(schemas.DIM_DATETIME).parquet(path))
-    text = plan(fact.agg(F.count("*"), F.sum("extra")))
-    assert "skew=true" in text
+    count = trips.count()
+    copies = trips.limit(1).crossJoin(spark.range(count)).drop("id")
+    keyed = trips.unionByName(copies).withColumn("trip_id", F.monotonically_increasing_id())
+    path = new_folder(spark, "keyed")
+    write_parquet(keyed, path)
+    keyed = spark.read.schema(keyed.schema).parquet(path)
+    pairs = counted_pairs(keyed)
+    hot = hot_keys(pairs, PAIR, "trips", parts=40, min_rows=1)
+    limit = 2 * count // 40
+    assert [row["salts"] for row in hot.collect()] == [-(-(count + 1) // limit)]
+
+    dates = build_dim_datetime(pairs.withColumn("datetime_id", F.xxhash64(*PAIR)))
+    plain = build_fact(keyed, dates, hot.limit(0))
+    salted = build_fact(keyed, dates, hot)
+    assert rows(salted) == rows(plain)
+    join = salted._jdf.queryExecution().executedPlan().toString()
+    assert "salt" in join.split("SortMergeJoin")[1].split("]")[0]
+    spread = keyed.join(hot, PAIR).groupBy(F.pmod(F.xxhash64("trip_id"), "salts")).count()
+    assert spread.agg(F.max("count")).first()[0] < 2 * limit
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, warehouse, conf, plan):

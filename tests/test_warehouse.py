@@ -1,9 +1,12 @@
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.checks import joined
 from tripmart.operators.filters import valid_trips
+from tripmart.operators.joins import hot_keys
 from tripmart.operators.sinks import read_published, write_parquet
 from tripmart.plans import marts
 from tripmart.plans.warehouse import PAIR, PICKUP, Warehouse, init_warehouse, load_batch
@@ -188,7 +191,7 @@ def test_wrong_input_is_refused(spark, raw_year, zones):
         load_batch(narrow, zones, new_folder(spark, "warehouse"), 0)
 
 
-def test_hot_trip_and_hot_pair(spark, raw, zones, conf):
+def test_hot_trip_and_hot_pair(spark, raw, zones, conf, rows, monkeypatch):
     """A third of all trips are copies of one, another third share its pair of timestamps."""
     trips = valid_trips(raw).select(*schemas.RAW_TRIP.names)
     count = trips.count()
@@ -200,9 +203,20 @@ def test_hot_trip_and_hot_pair(spark, raw, zones, conf):
     write_parquet(trips.unionByName(copies).unionByName(same_pair), path)
     scan = with_source_row(read_trips(spark, path))
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    hot_from = partial(hot_keys, parts=100, min_rows=10)
+    monkeypatch.setattr("tripmart.plans.warehouse.hot_keys", hot_from)
     built = init_warehouse(scan, zones, new_folder(spark, "warehouse"))
     fact = built.fact_trip()
     assert fact.count() == 3 * count == fact.select("trip_id").distinct().count()
     assert built.dim_datetime().count() == trips.select(*PAIR).distinct().count()
     busiest = fact.groupBy("datetimestamp_id").count().agg(F.max("count")).first()[0]
     assert busiest >= 2 * count
+    assert built.hot_pairs().first()["salts"] > 60
+    assert built.facts_with_dates().count() == 3 * count
+
+    again = load_batch(scan, zones, built.root, 1)
+    assert again.dim_datetime().count() == built.dim_datetime().count()
+    assert again.fact_trip().count() == 6 * count
+    assert again.hot_pairs().count() == built.hot_pairs().count() == 1
+    named = again.facts_with_dates().select("trip_id", "pick_weekday_id")
+    assert rows(named) == rows(again.fact_with_calendar().select("trip_id", "pick_weekday_id"))

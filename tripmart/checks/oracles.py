@@ -153,7 +153,9 @@ _SELECTS = {
         select {_FACT}, pick_hour, pick_weekday_id, drop_hour, drop_weekday_id from dated""".replace(
         "datetimestamp_id, ", ""
     ),
-    "alias_qualified": "select trip_id, pick_year as year from dated",
+    "alias_qualified": """
+        select trip_id, payment_type_name as payment_name
+        from fact join payments on payment_id = payment_type""",
     "cast_long": """
         select cast(RatecodeID as bigint) as ratecode_id, cast(payment_type as bigint) as payment_id
         from raw""",

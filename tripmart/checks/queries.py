@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.checks.fixtures import YEAR_FOLDER, land, land_green, land_mixed_layouts
-from tripmart.functions.calendar import calendar_parts, code_label, fractional_hour
+from tripmart.functions.calendar import calendar_parts, code_label, fractional_hour, weekday_name
 from tripmart.operators import changes, filters, keys, sinks
+from tripmart.operators.joins import broadcast_up_to, join_unique
 from tripmart.plans import marts, models
 from tripmart.plans import warehouse as wh
 from tripmart.sources import normalise, trips
@@ -219,28 +220,20 @@ def project_derive(spark, sf_dir):
     )
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_warehouse(spark, sf_dir)
-    dates = stored.dim_datetime()
-    return stored.fact_trip().join(dates, F.col("datetimestamp_id") == F.col("datetime_id"))
-
-
 @_register
 def project_drop(spark, sf_dir):
     stored = stored_warehouse(spark, sf_dir)
-    dates = stored.dim_datetime().select(
-        "datetime_id", "pick_hour", "pick_weekday_id", "drop_hour", "drop_weekday_id"
-    )
-    joined = stored.fact_trip().join(dates, F.col("datetimestamp_id") == F.col("datetime_id"))
-    return joined.drop("datetimestamp_id", "datetime_id")
+    unused = set(schemas.DIM_DATETIME.names) - set(models.FEATURES)
+    return stored.facts_with_dates().drop("datetimestamp_id", *unused)
 
 
 @_register
 def alias_qualified(spark, sf_dir):
     stored = stored_warehouse(spark, sf_dir)
-    fact, dates = stored.fact_trip().alias("fact"), stored.dim_datetime().alias("dates")
-    return fact.join(dates, F.col("fact.datetimestamp_id") == F.col("dates.datetime_id")).select(
-        F.col("fact.trip_id").alias("trip_id"), F.col("dates.pick_year").alias("year")
+    fact = stored.fact_trip().alias("fact")
+    payments = F.broadcast(stored.dim_payment()).alias("pay")  # a row per known code at most
+    return fact.join(payments, F.col("fact.payment_id") == F.col("pay.payment_type")).select(
+        F.col("fact.trip_id").alias("trip_id"), F.col("pay.payment_type_name").alias("payment_name")
     )
 
 
@@ -274,16 +267,19 @@ def case_label(spark, sf_dir):
 
 @_register
 def join_fact_datetime(spark, sf_dir):
-    return _joined(spark, sf_dir).select(
+    return stored_warehouse(spark, sf_dir).facts_with_dates().select(
         "trip_id", "datetime_id", "pick_year", "pick_hour", "pick_weekday", "pick_weekday_id"
     )
 
 
 @_register
 def join_composite(spark, sf_dir):
-    dates = stored_warehouse(spark, sf_dir).dim_datetime().select(*wh.PAIR, "datetime_id")
-    clean = filters.valid_trips(_raw(spark, sf_dir))
-    return clean.join(dates, wh.PAIR).select(*schemas.RAW_TRIP.names, "datetime_id")
+    stored = stored_warehouse(spark, sf_dir)
+    dates = stored.dim_datetime().select(*wh.PAIR, "datetime_id")
+    hot = stored.hot_pairs().select(*wh.PAIR, "salts")
+    clean = filters.valid_trips(trips.with_source_row(_raw(spark, sf_dir)))
+    joined = join_unique(clean, dates, wh.PAIR, hot, trips.SOURCE_ROW)
+    return joined.select(*schemas.RAW_TRIP.names, "datetime_id")
 
 
 @_register
@@ -296,8 +292,8 @@ def join_broadcast(spark, sf_dir):
 
 def _star(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_warehouse(spark, sf_dir)
-    zones = stored.dim_pickup_location()
-    return _joined(spark, sf_dir).join(zones, F.col("pu_location_id") == F.col("PULocationID"))
+    zones = broadcast_up_to(stored.dim_pickup_location(), wh.MAX_BROADCAST_ZONES)
+    return stored.facts_with_dates().join(zones, F.col("pu_location_id") == F.col("PULocationID"))
 
 
 @_register
@@ -316,14 +312,17 @@ def join_lookup(spark, sf_dir):
 @_register
 def fact_known_zone(spark, sf_dir):
     known = wh.known_zones(_keyed_trips(spark, sf_dir), _zones(spark, sf_dir))
-    dates = stored_warehouse(spark, sf_dir).dim_datetime()
-    return wh.build_fact(known, dates).select(*schemas.FACT_TRIP.names)
+    stored = stored_warehouse(spark, sf_dir)
+    facts = wh.build_fact(known, stored.dim_datetime(), stored.hot_pairs())
+    return facts.select(*schemas.FACT_TRIP.names)
 
 
 @_register
 def fact_all_zone(spark, sf_dir):
-    dates = stored_warehouse(spark, sf_dir).dim_datetime()
-    return wh.build_fact(_keyed_trips(spark, sf_dir), dates).select(*schemas.FACT_TRIP.names)
+    stored = stored_warehouse(spark, sf_dir)
+    keyed = _keyed_trips(spark, sf_dir)
+    facts = wh.build_fact(keyed, stored.dim_datetime(), stored.hot_pairs())
+    return facts.select(*schemas.FACT_TRIP.names)
 
 
 @_register
@@ -335,7 +334,7 @@ def join_key_widen(spark, sf_dir):
     )
     return (
         stored.fact_trip()
-        .join(payments, F.col("payment_id") == F.col("payment_type"))
+        .join(F.broadcast(payments), F.col("payment_id") == F.col("payment_type"))
         .select("trip_id", "payment_type", "payment_type_name")
     )
 
@@ -421,7 +420,9 @@ def fn_dayofweek(spark, sf_dir):
 @_register
 def fn_weekday_name(spark, sf_dir):
     dropoff = F.col(wh.PAIR[1])
-    return _raw(spark, sf_dir).select(dropoff, F.date_format(dropoff, "EEEE").alias("drop_weekday"))
+    return _raw(spark, sf_dir).select(
+        dropoff, weekday_name(F.dayofweek(dropoff)).alias("drop_weekday")
+    )
 
 
 # Sinks
@@ -582,13 +583,9 @@ def incremental_load(spark, sf_dir):
     area, zones = land(spark, sf_dir).area, _zones(spark, sf_dir)
     for _ in range(2):  # the second run finds nothing new
         stored = landing.load_landed(spark, area, zones, root, checkpoint, 0, files_per_batch=50)
-    dates = stored.dim_datetime().select("datetime_id", *wh.PAIR)
     # Keys follow the order in which files arrive; everything else equals a full rebuild.
-    return (
-        stored.fact_trip()
-        .join(dates, F.col("datetimestamp_id") == F.col("datetime_id"))
-        .drop("trip_id", "datetimestamp_id", "datetime_id")
-    )
+    measures = schemas.FACT_TRIP.names[3:]
+    return stored.facts_with_dates().select("vendor_id", *measures, *wh.PAIR)
 
 
 def _rezoned(zones: DataFrame) -> DataFrame:

@@ -3,11 +3,19 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Weekday names, Sunday first.
+WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+
 
 def fractional_hour(ts: Column) -> Column:
     return F.hour(ts) + F.minute(ts) / F.lit(60.0)
 
 
+def weekday_name(weekday_id: Column) -> Column:
+    """Name of a weekday number, as ``date_format(ts, 'EEEE')`` gives it without a time zone."""
+    return F.element_at(F.array(*(F.lit(name) for name in WEEKDAY_NAMES)), weekday_id)
+
+
 def calendar_parts(ts: Column, prefix: str) -> dict[str, Column]:
     """The six calendar columns of one timestamp; weekday 1 is Sunday."""
     return {
@@ -15,16 +23,11 @@ def calendar_parts(ts: Column, prefix: str) -> dict[str, Column]:
         f"{prefix}_day": F.dayofmonth(ts),
         f"{prefix}_month": F.month(ts),
         f"{prefix}_year": F.year(ts),
-        f"{prefix}_weekday": F.date_format(ts, "EEEE"),
+        f"{prefix}_weekday": weekday_name(F.dayofweek(ts)),
         f"{prefix}_weekday_id": F.dayofweek(ts),
     }
 
 
-def weekday_name(weekday_id: Column) -> Column:
-    """Name of a weekday number; 2023-01-01 was a Sunday."""
-    return F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), weekday_id - 1), "EEEE")
-
-
 def year_start(year: int) -> Column:
     return F.lit(f"{int(year):04d}-01-01 00:00:00").cast("timestamp_ntz")
 

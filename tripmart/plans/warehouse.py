@@ -16,6 +16,7 @@ from tripmart import schemas
 from tripmart.functions.calendar import calendar_parts, code_label
 from tripmart.operators.changes import latest_versions, new_rows
 from tripmart.operators.filters import valid_trips
+from tripmart.operators.joins import broadcast_up_to, hot_keys, join_unique
 from tripmart.operators.keys import assign_key, number_rows
 from tripmart.operators.sinks import write_parquet
 from tripmart.schemas import check_contract
@@ -30,6 +31,11 @@ PAIR = ["tpep_pickup_datetime", "tpep_dropoff_datetime"]
 FACT_CALENDAR = schemas.struct(
     "pick_year int, pick_hour double, pick_weekday_id int, drop_hour double, drop_weekday_id int"
 )
+# Pairs that hold a large share of a load's trips, and into how many parts joins split them.
+HOT_PAIRS = schemas.struct(
+    "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+    "datetime_id bigint, salts int"
+)
 LOADS = schemas.struct("load_id bigint, next_trip_id bigint, next_datetime_id bigint")
 
 
@@ -49,7 +55,10 @@ DROPOFF = Table("dim_dropoff_location", schemas.DIM_DROPOFF_LOCATION, ("service_
 RATE_CODE = Table("dim_rate_code", schemas.DIM_RATE_CODE, ("RatecodeID",))
 PAYMENT = Table("dim_payment", schemas.DIM_PAYMENT, ("payment_type",))
 VENDOR = Table("dim_vendor", schemas.DIM_VENDOR, ("VendorID",))
-TABLES = (FACT, DATETIME, PICKUP, DROPOFF, RATE_CODE, PAYMENT, VENDOR)
+HOT = Table("hot_pairs", HOT_PAIRS)
+TABLES = (FACT, DATETIME, PICKUP, DROPOFF, RATE_CODE, PAYMENT, VENDOR, HOT)
+# A lookup up to this size is broadcast.
+MAX_BROADCAST_ZONES = 1_000_000
 
 CODE_NAMES = {
     RATE_CODE.name: schemas.RATE_CODE_NAMES,
@@ -94,6 +103,16 @@ class Warehouse:
     def dim_datetime(self) -> DataFrame:
         return self.history(DATETIME).drop(LOAD_ID)
 
+    def hot_pairs(self) -> DataFrame:
+        """The hot pairs of all loads, each with the sum of its parts."""
+        return self.history(HOT).groupBy(*PAIR, "datetime_id").agg(F.sum("salts").alias("salts"))
+
+    def facts_with_dates(self) -> DataFrame:
+        """Facts joined with the datetime dimension on its key."""
+        facts = self.fact_trip().withColumn("datetime_id", F.col("datetimestamp_id"))
+        hot = self.hot_pairs().select("datetime_id", "salts")
+        return join_unique(facts, self.dim_datetime(), ["datetime_id"], hot, "trip_id")
+
     def dim_pickup_location(self) -> DataFrame:
         return self.current(PICKUP)
 
@@ -114,6 +133,11 @@ def distinct_pairs(trips: DataFrame) -> DataFrame:
     return trips.select(*PAIR).distinct()
 
 
+def counted_pairs(trips: DataFrame) -> DataFrame:
+    """Distinct pairs with their number of trips."""
+    return trips.groupBy(*PAIR).agg(F.count("*").alias("trips"))
+
+
 def build_dim_datetime(keyed_pairs: DataFrame) -> DataFrame:
     """Calendar columns of keyed (pickup, dropoff) pairs."""
     parts = calendar_parts(F.col(PAIR[0]), "pick") | calendar_parts(F.col(PAIR[1]), "drop")
@@ -140,18 +164,14 @@ def build_dim_code(codes: DataFrame, table: Table) -> DataFrame:
 
 def known_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips whose pickup and dropoff zones are both in the lookup."""
-    ids = zones.select("LocationID")
+    ids = broadcast_up_to(zones.select("LocationID"), MAX_BROADCAST_ZONES)
     for side in ("PULocationID", "DOLocationID"):
         trips = trips.join(ids, trips[side] == ids["LocationID"], "left_semi")
     return trips
 
 
-def build_fact(trips: DataFrame, dim_datetime: DataFrame) -> DataFrame:
-    """Facts of keyed trips.
-
-    One shuffle of the trips on the pair. A pair that holds a large share of the trips is
-    split by adaptive execution, which the unique pair on the other side allows.
-    """
+def build_fact(trips: DataFrame, dim_datetime: DataFrame, hot_pairs: DataFrame) -> DataFrame:
+    """Facts of keyed trips: one shuffle of the trips on the pair, in which hot pairs are split."""
     calendar = dim_datetime.select(*PAIR, "datetime_id", *FACT_CALENDAR.names)
     names = {
         "VendorID": "vendor_id",
@@ -161,7 +181,9 @@ def build_fact(trips: DataFrame, dim_datetime: DataFrame) -> DataFrame:
         "RatecodeID": "ratecode_id",
         "payment_type": "payment_id",
     }
-    return trips.join(calendar, PAIR).withColumnsRenamed(names).select(*FACT.schema.names)
+    hot = hot_pairs.select(*PAIR, "salts")
+    facts = join_unique(trips, calendar, PAIR, hot, "trip_id")
+    return facts.withColumnsRenamed(names).select(*FACT.schema.names)
 
 
 def load_batch(
@@ -194,24 +216,32 @@ def load_batch(
         path = f"{root}/{table.name}/{LOAD_ID}={int(load_id)}"
         return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
 
-    pairs = distinct_pairs(valid)
+    pairs = new_pairs = counted_pairs(valid)
     known = before.dim_datetime().limit(0)
     if before.last_load is not None:
         write_parquet(pairs, f"{staging}/distinct")
         pairs = spark.read.schema(pairs.schema).parquet(f"{staging}/distinct")
         known = _stored_pairs(before.dim_datetime(), pairs)
-        pairs = pairs.join(known, PAIR, "left_anti")
+        new_pairs = pairs.join(known, PAIR, "left_anti")
     keyed_pairs, next_datetime = assign_key(
-        pairs, PAIR, "datetime_id", before.next_datetime_id, f"{staging}/pairs"
+        new_pairs, PAIR, "datetime_id", before.next_datetime_id, f"{staging}/pairs"
     )
     store(build_dim_datetime(keyed_pairs), DATETIME)
 
+    dates = stored(DATETIME).unionByName(known)
+    hot = hot_keys(keyed_pairs if before.last_load is None else pairs, PAIR, "trips")
+    if hot.isEmpty():
+        store(before.history(HOT).limit(0).drop(LOAD_ID), HOT)
+    else:
+        hot_dates = dates.join(F.broadcast(hot), PAIR)
+        store(hot_dates.select(*HOT.schema.names), HOT)
+
     keyed, next_trip = number_rows(
         valid, trips, "trip_id", before.next_trip_id, f"{staging}/files"
     )
     if require_known_zone:
         keyed = known_zones(keyed, zones)
-    store(build_fact(keyed, stored(DATETIME).unionByName(known)), FACT)
+    store(build_fact(keyed, dates, stored(HOT)), FACT)
 
     # Codes come from the stored fact, whose columns are read one by one, unless the fact
     # has lost trips whose codes count.
