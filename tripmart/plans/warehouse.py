@@ -249,8 +249,10 @@ def load_batch(
     codes = _occurring_codes(occurring, f"{staging}/codes")
     found = {table: build_dim_location(codes[table], zones, table) for table in (PICKUP, DROPOFF)}
     found |= {table: build_dim_code(codes[table], table) for table in (RATE_CODE, PAYMENT, VENDOR)}
+    if before.last_load is not None:
+        found = {table: new_rows(rows, before.current(table)) for table, rows in found.items()}
     with ThreadPoolExecutor(len(found)) as jobs:
-        list(jobs.map(lambda t: store(new_rows(found[t], before.current(t)), t), found))
+        list(jobs.map(lambda table: store(found[table], table), found))
 
     done = spark.range(1).select(
         F.lit(next_trip).cast("long").alias("next_trip_id"),
