@@ -28,10 +28,11 @@ def hot_keys(
 
     No split of a hot key holds more rows than a key that just is not hot.
     """
-    total = counted.agg(F.sum(rows)).first()[0] or 0
-    limit = max(total // parts, min_rows)
+    total, largest = counted.agg(F.sum(rows), F.max(rows)).first()
+    limit = max((total or 0) // parts, min_rows)
     salts = F.ceil(F.col(rows) / limit).cast("int").alias("salts")
-    return counted.filter(F.col(rows) > limit).select(*keys, salts)
+    hot = counted.filter(F.col(rows) > limit).select(*keys, salts)
+    return hot if (largest or 0) > limit else hot.limit(0)
 
 
 def join_unique(

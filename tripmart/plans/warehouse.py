@@ -208,13 +208,14 @@ def load_batch(
     require_unique(zones, "LocationID")
     valid = valid_trips(trips, years)
 
+    def folder(table: Table) -> str:
+        return f"{root}/{table.name}/{LOAD_ID}={int(load_id)}"
+
     def store(df: DataFrame, table: Table) -> None:
-        path = f"{root}/{table.name}/{LOAD_ID}={int(load_id)}"
-        write_parquet(df, path, "overwrite", table.partition_by)
+        write_parquet(df, folder(table), "overwrite", table.partition_by)
 
     def stored(table: Table) -> DataFrame:
-        path = f"{root}/{table.name}/{LOAD_ID}={int(load_id)}"
-        return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
+        return spark.read.schema(table.schema).parquet(folder(table)).select(*table.schema.names)
 
     pairs = new_pairs = counted_pairs(valid)
     known = before.dim_datetime().limit(0)
@@ -231,17 +232,16 @@ def load_batch(
     dates = stored(DATETIME).unionByName(known)
     hot = hot_keys(keyed_pairs if before.last_load is None else pairs, PAIR, "trips")
     if hot.isEmpty():
-        store(before.history(HOT).limit(0).drop(LOAD_ID), HOT)
+        remove_folder(spark, folder(HOT))
     else:
-        hot_dates = dates.join(F.broadcast(hot), PAIR)
-        store(hot_dates.select(*HOT.schema.names), HOT)
+        store(dates.join(F.broadcast(hot), PAIR).select(*HOT.schema.names), HOT)
 
     keyed, next_trip = number_rows(
         valid, trips, "trip_id", before.next_trip_id, f"{staging}/files"
     )
     if require_known_zone:
         keyed = known_zones(keyed, zones)
-    store(build_fact(keyed, dates, stored(HOT)), FACT)
+    store(build_fact(keyed, dates, hot), FACT)
 
     # Codes come from the stored fact, whose columns are read one by one, unless the fact
     # has lost trips whose codes count.
