@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
@@ -61,6 +62,18 @@ def test_linear_model_fits_the_sum_best(vectors):
     assert scores["Random Forest"]["r2"] > 0.9
 
 
+def test_linear_model_equals_the_closed_form(vectors):
+    """Least squares with a penalty on coefficients of standardised features and label."""
+    model = models.fit_linear(vectors)
+    table = np.array(vectors.select(*models.FEATURES, models.LABEL).collect(), dtype=float)
+    x, y = table[:, :-1], table[:, -1]
+    centred, target = x - x.mean(axis=0), y - y.mean()
+    penalty = models.REG_PARAM / y.std() * np.diag(x.var(axis=0))
+    expected = np.linalg.solve(centred.T @ centred / len(y) + penalty, centred.T @ target / len(y))
+    assert np.allclose(model.coefficients.toArray(), expected, rtol=1e-5, atol=1e-7)
+    assert model.intercept == pytest.approx(y.mean() - x.mean(axis=0) @ expected, abs=1e-4)
+
+
 def test_forest_is_repeatable(vectors):
     first, second = (models.score_model(vectors, "Random Forest").first() for _ in range(2))
     assert first["rmse"] == pytest.approx(second["rmse"], rel=1e-9)

@@ -60,7 +60,8 @@ def test_hot_pair_is_split_in_the_fact_join(spark, raw, conf, rows):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     trips = valid_trips(raw).select(*schemas.RAW_TRIP.names)
     count = trips.count()
-    copies = trips.limit(1).crossJoin(spark.range(count)).drop("id")
+    copy = F.explode(F.sequence(F.lit(1), F.lit(count)))
+    copies = trips.limit(1).withColumn("copy", copy).drop("copy")
     keyed = trips.unionByName(copies).withColumn("trip_id", F.monotonically_increasing_id())
     path = new_folder(spark, "keyed")
     write_parquet(keyed, path)

@@ -64,6 +64,9 @@ def test_period_comes_from_the_file_name(spark):
     files = spark.createDataFrame([(name,) for name in names], "src_file string")
     found = [(r["year"], r["month"]) for r in with_period(files).orderBy("src_file").collect()]
     assert sorted(found, key=str) == [(2023, 7), (None, None), (None, None)]
+    green = spark.createDataFrame([("/a/green_tripdata_2019-12.parquet",)], "src_file string")
+    assert with_period(green).first()["year"] is None
+    assert with_period(green, fleet="green").first()["month"] == 12
 
 
 def test_new_periods_compare_year_and_month(spark):

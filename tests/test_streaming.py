@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tripmart import schemas
@@ -42,3 +44,21 @@ def test_landed_months_extend_the_warehouse(spark, raw, zones):
     third = load_landed(spark, area, zones, root, checkpoint, first_load=0)
     assert third.last_load == 1
     assert third.fact_trip().count() == trips
+
+
+def test_stream_goes_on_after_a_failed_batch(spark, raw, zones, monkeypatch):
+    area, root, checkpoint = (new_folder(spark, n) for n in ("area", "warehouse", "checkpoint"))
+    write_parquet(_month(raw, "1996-03"), f"{area}/yellow_tripdata_1996-03", files=1)
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tripmart.plans.warehouse._occurring_codes", broken)
+        with pytest.raises(StreamingQueryException):
+            load_landed(spark, area, zones, root, checkpoint, first_load=0)
+    write_parquet(_month(raw, "1996-04"), f"{area}/yellow_tripdata_1996-04", files=1)
+    stored = load_landed(spark, area, zones, root, checkpoint, first_load=0)
+    months = _month(raw, "1996-03").unionByName(_month(raw, "1996-04"))
+    assert stored.fact_trip().count() == valid_trips(months).count()
+    assert stored.last_load == 1

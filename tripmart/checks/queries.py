@@ -108,8 +108,8 @@ def ingest_landing(spark, sf_dir):
 @_register
 def last_key(spark, sf_dir):
     stored = stored_warehouse(spark, sf_dir)
-    fact = keys.last_key(stored.fact_trip(), "trip_id")
-    return fact.crossJoin(keys.last_key(stored.dim_datetime(), "datetime_id"))
+    last_date = keys.last_key(stored.dim_datetime(), "datetime_id").scalar()
+    return keys.last_key(stored.fact_trip(), "trip_id").withColumn("datetime_id", last_date)
 
 
 # Normalisation

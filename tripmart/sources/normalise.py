@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tripmart.schemas import RAW_TRIP
 from tripmart.sources.trips import SOURCE_FILE
 
-# File naming of the monthly releases.
-PERIOD_PATTERN = r"yellow_tripdata_(\d{4})-(\d{2})"
+# Fixed value: file naming of the monthly releases, after the name of the fleet.
+PERIOD_PATTERN = r"_tripdata_(\d{4})-(\d{2})"
 # Fixed value: releases up to this year have no zone ids.
 LAST_YEAR_WITHOUT_ZONES = 2010
 
@@ -56,21 +56,21 @@ def normalise(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame
     return cast_to_contract(keep_contract_columns(rename_columns(df, renames or {})).dropna())
 
 
-def with_period(df: DataFrame, path: str = SOURCE_FILE) -> DataFrame:
-    """Add the year and month named in the file path; NULL for other files."""
+def with_period(df: DataFrame, path: str = SOURCE_FILE, fleet: str = "yellow") -> DataFrame:
+    """Add the year and month named in the file path; NULL for files of another kind."""
     year, month = (
-        F.nullif(F.regexp_extract(path, PERIOD_PATTERN, group), F.lit("")).cast("int")
+        F.nullif(F.regexp_extract(path, fleet + PERIOD_PATTERN, group), F.lit("")).cast("int")
         for group in (1, 2)
     )
     return df.withColumns({"year": year, "month": month})
 
 
-def landed_periods(scan: DataFrame) -> DataFrame:
+def landed_periods(scan: DataFrame, fleet: str = "yellow") -> DataFrame:
     """Year, month and row count of every landed period of a scan."""
     files = scan.select(F.col("_metadata.file_path").alias(SOURCE_FILE))
     per_file = files.groupBy(SOURCE_FILE).agg(F.count("*").alias("rows"))
     return (
-        with_period(per_file)
+        with_period(per_file, fleet=fleet)
         .filter(F.col("year").isNotNull())
         .groupBy("year", "month")
         .agg(F.sum("rows").alias("rows"))
@@ -88,10 +88,5 @@ def new_periods(landed: DataFrame, loaded: DataFrame, year: int) -> DataFrame:
     the next January.
     """
     ordinal = F.col("year") * 100 + F.col("month")
-    newest = loaded.agg(F.coalesce(F.max(ordinal), F.lit(0)).alias("newest"))
-    return (
-        landed.filter(F.col("year") == year)
-        .crossJoin(newest)
-        .filter(ordinal > F.col("newest"))
-        .drop("newest")
-    )
+    newest = loaded.agg(F.coalesce(F.max(ordinal), F.lit(0))).scalar()
+    return landed.filter((F.col("year") == year) & (ordinal > newest))
