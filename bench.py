@@ -65,6 +65,10 @@ def main() -> None:
     land_seconds = round(_seconds(lambda: land(spark, sf_dir)), 3)
     warehouse = stored_warehouse(spark, sf_dir)
 
+    for _ in range(2):  # both kinds of report start with the same warm engine
+        for name, report in joined.REPORTS.items():
+            _consume(report(warehouse))
+            _consume(QUERIES[name](spark, sf_dir))
     times = {}
     for name in REPORTS + LOADS + SCANS + MODELS:
         times[name] = _median(
