@@ -223,7 +223,8 @@ def near_duplicates(
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
     wanted = stored(classes.select("digest", "doc_id").join(wanted, "digest"), "wanted")
     wanted = wanted.withColumnRenamed("doc_id", "_wanted")
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_wanted")))
+    # merged at any size: texts are to move alike however few are wanted
+    texts = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_wanted")))
     sets = stored(
         texts.select("doc_id", "text", "digest").mapInArrow(
             _sets, "digest binary, hashes array<bigint>"
