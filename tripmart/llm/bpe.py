@@ -1,14 +1,15 @@
 """Byte-level BPE: encode whole texts by merge ranks, and decode ids.
 
 A piece is merged with a rank queue. Ranks with pairs waiting are set bits of a bitmap of
-64-way words; a bit one level up says that a word below has bits, so the lowest rank is
-found by a find-first-set per level. A rank's bucket is a heap of positions in the linked
+256-way words; a bit one level up says that a word below has bits, so the lowest rank is
+found by a find-first-set on each level. A rank's bucket is a heap of positions in the linked
 list of tokens, which yields equal ranks from left to right. Entries are never removed when
 a merge makes them invalid; they are skipped when popped. The work is in proportion to
 the number of pairs ever queued, so a piece of a million bytes is no problem.
 """
 
 import base64
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -19,8 +20,10 @@ from pyspark.sql import DataFrame
 
 from tripmart.llm.common import process_cache, with_field
 
-# Pieces whose ids a worker remembers; the memory is given back when there are more.
-MAX_REMEMBERED = 200_000
+# Pieces whose ids a worker remembers in each half of its memory.
+MAX_REMEMBERED = 400_000
+# Bytes of ids after which a task hands on what it has.
+BATCH_BYTES = 8 << 20
 # Pieces beyond this length are not remembered.
 MAX_REMEMBERED_LENGTH = 64
 
@@ -32,98 +35,119 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions by rank; the lowest rank comes first, and of its positions the leftmost."""
-
-    def __init__(self, ranks: int):
-        self._buckets: dict[int, list[int]] = {}
-        self._levels = [[0] * (-(-ranks // 64) or 1)]
-        while len(self._levels[-1]) > 1:
-            self._levels.append([0] * -(-len(self._levels[-1]) // 64))
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self._buckets[rank] = [position]
-        for words in self._levels:
-            word, bit = rank >> 6, 1 << (rank & 63)
-            was = words[word]
-            words[word] = was | bit
-            if was:
-                return
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        """The lowest rank and its leftmost position, or None when the queue is empty."""
-        word = 0
-        for words in reversed(self._levels):
-            bits = words[word]
-            if not bits:
-                return None
-            word = (word << 6) | ((bits & -bits).bit_length() - 1)
-        rank = word
-        bucket = self._buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self._buckets[rank]
-            for words in self._levels:
-                words[word >> 6] &= ~(1 << (word & 63))
-                if words[word >> 6]:
-                    break
-                word >>= 6
-        return rank, position
+    """The buckets and the bitmap; both are empty between two pieces.
+
+    ``words`` has a bit for each rank that has positions, and a bit of a top word says that
+    a word has bits. ``pairs`` has the ranks of two single bytes.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.buckets: dict[int, list[int]] = {}
+        self.words = [0] * ((max(ranks.values()) >> 8) + 1)
+        self.pairs = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+
+
+_BITS = [1 << place for place in range(4096)]
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one piece. ``queue`` is empty and is empty again afterwards."""
-    if piece in ranks:
-        return [ranks[piece]]
+    """Ids of one piece.
+
+    The queue's steps are written out in the loop, as a call for each would cost as much as
+    the step itself.
+    """
+    known = ranks.get(piece)
+    if known is not None:
+        return [known]
     size = len(piece)
+    rank_of, buckets, words, bits = ranks.get, queue.buckets, queue.words, _BITS
+    pairs = queue.pairs
     following = list(range(1, size + 1))
     before = list(range(-1, size - 1))
-    pair: list[int | None] = [ranks.get(piece[i : i + 2]) for i in range(size - 1)] + [None]
-    for position, rank in enumerate(pair):
+    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    pair.append(None)
+    top = 0
+    for at, rank in enumerate(pair):
         if rank is not None:
-            queue.push(rank, position)
-    while (least := queue.pop()) is not None:
-        rank, at = least
+            if rank in buckets:
+                buckets[rank].append(at)
+            else:
+                buckets[rank] = [at]
+                word = rank >> 8
+                words[word] |= bits[rank & 255]
+                top |= bits[word]
+    while top:
+        word = (top & -top).bit_length() - 1
+        held = words[word]
+        rank = (word << 8) + (held & -held).bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            at = heappop(bucket)
+        else:
+            at = bucket[0]
+            del buckets[rank]
+            words[word] = held = held & (held - 1)
+            if not held:
+                top &= top - 1
         if pair[at] != rank:
             continue
         gone = following[at]
         end = following[at] = following[gone]
         pair[gone] = None
-        found = None
         if end < size:
             before[end] = at
-            found = ranks.get(piece[at : following[end]])
+            found = rank_of(piece[at : following[end]])
+            pair[at] = found
             if found is not None:
-                queue.push(found, at)
-        pair[at] = found
+                if found in buckets:
+                    heappush(buckets[found], at)
+                else:
+                    buckets[found] = [at]
+                    word = found >> 8
+                    words[word] |= bits[found & 255]
+                    top |= bits[word]
+        else:
+            pair[at] = None
         left = before[at]
         if left >= 0:
-            found = pair[left] = ranks.get(piece[left:end])
+            found = rank_of(piece[left:end])
+            pair[left] = found
             if found is not None:
-                queue.push(found, left)
+                if found in buckets:
+                    heappush(buckets[found], left)
+                else:
+                    buckets[found] = [left]
+                    word = found >> 8
+                    words[word] |= bits[found & 255]
+                    top |= bits[word]
     ids, at = [], 0
     while at < size:
-        ids.append(ranks[piece[at : following[at]]])
-        at = following[at]
+        end = following[at]
+        ids.append(ranks[piece[at:end]])
+        at = end
     return ids
 
 
 class PieceIds(dict):
-    """Ids of pieces as bytes of int32, made when a piece is first asked for."""
+    """Ids of pieces as bytes of int32, made when a piece is first asked for.
+
+    When it is full, what it holds becomes the older half of its memory, from which pieces
+    that are asked for again come back; the rest is forgotten the next time.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
+        self._older: dict[str, bytes] = {}
         self._ranks = ranks
-        self._queue = RankQueue(max(ranks.values()) + 1)
+        self._queue = RankQueue(ranks)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self._ranks, self._queue), np.int32).tobytes()
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = array("i", merge(piece.encode(), self._ranks, self._queue)).tobytes()
         if len(piece) <= MAX_REMEMBERED_LENGTH:
             if len(self) >= MAX_REMEMBERED:
+                self._older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -150,14 +174,22 @@ def encode(
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
         piece_ids = process_cache(name, lambda: PieceIds(shared.value)).__getitem__
-        for batch in batches:
-            found = [b"".join(map(piece_ids, split(x.as_py() or ""))) for x in batch.column(1)]
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int64)
+
+        def made(keys: pa.Array, found: list[bytes]) -> pa.RecordBatch:
+            ends = np.cumsum([0, *(len(x) // 4 for x in found)])
             values = pa.array(np.frombuffer(b"".join(found), np.int32))
-            lists = pa.LargeListArray.from_arrays(pa.array(ends), values)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists.cast(pa.list_(pa.int32()))], names=[key, ids]
-            )
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            return pa.RecordBatch.from_arrays([keys, lists], names=[key, ids])
+
+        for batch in batches:
+            found, first, held = [], 0, 0
+            for place, value in enumerate(batch.column(1)):
+                found.append(b"".join(map(piece_ids, split(value.as_py() or ""))))
+                held += len(found[-1])
+                if held >= BATCH_BYTES:
+                    yield made(batch.column(0).slice(first, len(found)), found)
+                    found, first, held = [], place + 1, 0
+            yield made(batch.column(0).slice(first), found)
 
     rows = docs.select(key, text)
     return rows.mapInArrow(tasks, with_field(rows.select(key).schema, (ids, "array<int>")))
