@@ -21,7 +21,9 @@ from tripmart.llm.common import slices, with_field
 WINDOW = 7
 # A text has some 32 to 64 chunks; what follows chunk MAX_CHUNKS - 1 is one last chunk.
 CHUNKS = 64
+# A text that repeats itself may have very few; its block size is halved until it has MIN_CHUNKS.
 MAX_CHUNKS = 160
+MIN_CHUNKS = 16
 # Bytes of text of one task, about.
 TASK_BYTES = 24 << 20
 
@@ -66,7 +68,10 @@ def fingerprint(data: bytes) -> str:
         return "0::"
     view = memoryview(data)
     rolled = _rolling(np.frombuffer(data, np.uint8))
-    ends = np.flatnonzero(rolled < (1 << (32 - step))) if step else np.arange(len(data))
+    ends = np.flatnonzero(rolled < (1 << (32 - step)))
+    while step and len(ends) < MIN_CHUNKS:
+        step -= 1
+        ends = np.flatnonzero(rolled < (1 << (32 - step)))
     wide = ends[rolled[ends] < (1 << (31 - step))]
     return f"{step}:{_signature(view, ends)}:{_signature(view, wide)}"
 

@@ -33,7 +33,7 @@ RATE = 0.5
 CALIBRATION = 5
 # A prediction is rejected when its score is below this share of the lowest score that a
 # correctly labelled calibration document has.
-REJECTION_MARGIN = 0.8
+REJECTION_MARGIN = 0.7
 # Code points of a text handled at once.
 SPAN = 1 << 18
 
