@@ -34,6 +34,8 @@ CALIBRATION = 5
 # A prediction is rejected when its score is below this share of the lowest score that a
 # correctly labelled calibration document has.
 REJECTION_MARGIN = 0.7
+# With fewer such documents the lowest score says little, and only ``und`` is rejected.
+MIN_CALIBRATED = 300
 # Code points of a text handled at once.
 SPAN = 1 << 18
 
@@ -176,7 +178,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: in
     temperature = min(np.geomspace(0.05, 20, 61), key=loss)
     chances = softmax(logits / temperature)
     right = chances.argmax(axis=1) == truth
-    lowest = chances[right].max(axis=1).min() if right.any() else 0.0
+    lowest = chances[right].max(axis=1).min() if right.sum() >= MIN_CALIBRATED else 0.0
     return Model(languages, flat, bias, float(temperature), float(REJECTION_MARGIN * lowest))
 
 

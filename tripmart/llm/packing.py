@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripmart.llm.common import stored
+
 BUCKETS = 16
 TOKEN_BUDGET = 16_384
 # Lengths are told apart to this many leading binary digits in the histogram.
@@ -81,6 +83,8 @@ def pack(
     lengths = rows.select(
         F.col(key).alias("key"), F.coalesce(F.col(length).cast("long"), F.lit(0)).alias("length")
     )
+    # read three times, while a length may take a pass over a text
+    lengths = stored(lengths, "lengths")
     digits = F.length(F.bin("length"))
     shift = F.greatest(digits - DIGITS, F.lit(0)).cast("int")
     step = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
