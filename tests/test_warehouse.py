@@ -232,3 +232,8 @@ def test_hot_trip_and_hot_pair(spark, raw, zones, conf, rows, monkeypatch):
     assert again.hot_pairs().count() == built.hot_pairs().count() == 1
     named = again.facts_with_dates().select("trip_id", "pick_weekday_id")
     assert rows(named) == rows(again.fact_with_calendar().select("trip_id", "pick_weekday_id"))
+
+
+def test_mistyped_root_is_refused(spark):
+    with pytest.raises(ValueError, match="no load below"):
+        Warehouse(spark, new_folder(spark, "nothing")).require_loaded()

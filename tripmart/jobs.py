@@ -64,15 +64,16 @@ def _landed(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
         args.first_load,
         args.files_per_batch,
+        None if args.year is None else (args.year, args.year),
     )
 
 
 def _reports(spark: SparkSession, args: argparse.Namespace) -> None:
-    marts.publish_all(Warehouse(spark, args.warehouse), args.marts)
+    marts.publish_all(Warehouse(spark, args.warehouse).require_loaded(), args.marts)
 
 
 def _clusters(spark: SparkSession, args: argparse.Namespace) -> None:
-    stored = Warehouse(spark, args.warehouse)
+    stored = Warehouse(spark, args.warehouse).require_loaded()
     pickup = models.cluster_zones(stored.dim_pickup_location(), "pickup")
     dropoff = models.cluster_zones(stored.dim_dropoff_location(), "dropoff")
     publish(pickup, args.marts, "kmean_pickup_location")
@@ -80,12 +81,14 @@ def _clusters(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _correlation(spark: SparkSession, args: argparse.Namespace) -> None:
-    facts = models.trip_features(Warehouse(spark, args.warehouse))
+    facts = models.trip_features(Warehouse(spark, args.warehouse).require_loaded())
     publish(models.correlation_matrix(facts), args.marts, "feature_correlation")
 
 
 def _scores(spark: SparkSession, args: argparse.Namespace) -> None:
-    facts = models.trip_features(Warehouse(spark, args.warehouse), args.year)
+    facts = models.trip_features(
+        Warehouse(spark, args.warehouse).require_loaded(), args.year
+    )
     models.publish_scores(models.assemble(facts, models.FEATURES), args.marts)
 
 
@@ -126,7 +129,8 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = job("landed", _landed, "append the files that landed since the last run", "load")
     sub.add_argument("--checkpoint", required=True)
-    sub.add_argument("--first-load", type=int, required=True)
+    sub.add_argument("--first-load", type=int, default=0, help="lowest number of a load")
+    sub.add_argument("--year", type=parse_year, help="keep trips of one pickup year")
     sub.add_argument("--files-per-batch", type=int)
 
     job("reports", _reports, "replace the eight report tables", "marts")
@@ -144,7 +148,9 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None) -> None:
 
 def main() -> None:
     args = _parser().parse_args()
-    spark = SparkSession.builder.appName(f"tripmart {args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tripmart {args.job}")
+    # Timestamps of files that are stored in UTC are read as UTC wherever the job runs.
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
         args.run(spark, args)
     finally:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 PARTS = 10_000
 # Keys below this number of rows are never worth splitting.
 MIN_HOT_ROWS = 100_000
+# A list of hot keys up to this length is broadcast; those of many loads may be longer.
+MAX_BROADCAST_HOT = 100_000
 
 
 def broadcast_up_to(df: DataFrame, max_rows: int) -> DataFrame:
@@ -41,12 +43,13 @@ def join_unique(
     """Inner join with a lookup that is unique by ``keys``, with hot keys split by a salt.
 
     Rows of a hot key are spread by a hash of ``spread_by``, a column that tells them
-    apart, and its lookup row is copied once per salt. ``hot`` comes from ``hot_keys``,
-    which bounds its size; without hot keys this is the plain join.
+    apart, and its lookup row is copied once per salt. ``hot`` comes from ``hot_keys``, which
+    bounds its length for one load; a list of many loads is counted before it is broadcast.
+    Without hot keys this is the plain join.
     """
     if hot.isEmpty():
         return rows.join(lookup, list(keys))
-    hot = F.broadcast(hot)
+    hot = broadcast_up_to(hot, MAX_BROADCAST_HOT)
     salt = F.pmod(F.xxhash64(spread_by), F.col("salts")).cast("int")
     salted = rows.join(hot, list(keys), "left").withColumn("salt", F.coalesce(salt, F.lit(0)))
     last = F.coalesce(F.col("salts"), F.lit(1)) - 1

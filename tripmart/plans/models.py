@@ -1,6 +1,7 @@
 """Zone clusters, feature selection and fare models on MLlib."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.clustering import KMeans
@@ -39,8 +40,8 @@ CLUSTERS = 5
 REG_PARAM = 0.01
 FOREST_TREES = 50
 FOREST_DEPTH = 7
-# Zones up to this number are clustered from one ordered partition.
-MAX_ORDERED_ZONES = 100_000
+# Zones are dealt to this many ordered partitions by a hash of their id.
+ZONE_PARTITIONS = 8
 
 
 def trip_features(warehouse: Warehouse, year: int | None = None) -> DataFrame:
@@ -67,14 +68,13 @@ def standardise(df: DataFrame, column: str = "features", output: str = "scaledFe
 def cluster_zones(dim_location: DataFrame, side: str) -> DataFrame:
     """K-means cluster of every zone by its standardised coordinates.
 
-    The start centres depend on row order, so zones are ordered by id; a lookup too large
-    for one partition is clustered as it is partitioned.
+    The start centres depend on the order of rows. A zone's id alone decides its partition
+    and its place there, however the lookup is stored and however long it is.
     """
     key = dim_location.columns[0]
     x, y = f"{side}_x", f"{side}_y"
     zones = dim_location.withColumnsRenamed({"X": x, "Y": y})
-    if zones.count() <= MAX_ORDERED_ZONES:
-        zones = zones.coalesce(1).sortWithinPartitions(key)
+    zones = zones.repartition(ZONE_PARTITIONS, key).sortWithinPartitions(key)
     scaled = standardise(assemble(zones, [x, y]))
     kmeans = KMeans(
         k=CLUSTERS, seed=SEED, featuresCol="scaledFeatures", predictionCol="cluster"
@@ -164,7 +164,5 @@ def score_model(features: DataFrame, name: str) -> DataFrame:
 
 
 def publish_scores(features: DataFrame, area: str, table: str = "model_evaluation") -> None:
-    """Score all models into one table; the first replaces it and the others append."""
-    for position, name in enumerate(MODELS):
-        scores = score_model(features, name)
-        publish(scores, area, table, "append" if position else "overwrite")
+    """Score all models and replace the table by their rows in one write."""
+    publish(reduce(DataFrame.unionByName, (score_model(features, name) for name in MODELS)), area, table)

@@ -36,7 +36,10 @@ HOT_PAIRS = schemas.struct(
     "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
     "datetime_id bigint, salts int"
 )
-LOADS = schemas.struct("load_id bigint, next_trip_id bigint, next_datetime_id bigint")
+# Loads with what they came from: a stream's checkpoint and batch, or neither.
+LOADS = schemas.struct(
+    "load_id bigint, next_trip_id bigint, next_datetime_id bigint, source string, batch bigint"
+)
 
 
 @dataclass(frozen=True, eq=False)
@@ -81,12 +84,28 @@ class Warehouse:
         self.next_trip_id = next_trip or 0
         self.next_datetime_id = next_datetime or 0
 
+    def load_of(self, source: str, batch: int) -> int | None:
+        """The number of the load that a stream's batch was stored as."""
+        loads = read_or_empty(self.spark, f"{self.root}/loads", LOADS)
+        own = loads.filter((F.col("source") == source) & (F.col("batch") == batch))
+        return own.agg(F.max(LOAD_ID)).first()[0]
+
+    def require_loaded(self) -> "Warehouse":
+        """Itself; raises where nothing was ever loaded, as below a mistyped root."""
+        if self.last_load is None:
+            raise ValueError(f"no load below {self.root}")
+        return self
+
     def history(self, table: Table) -> DataFrame:
         """All stored rows with the load that wrote them; types as in the contract."""
         schema = T.StructType(table.schema.fields + [T.StructField(LOAD_ID, T.LongType())])
         if self.last_load is None:
             return self.spark.createDataFrame([], schema)
-        stored = read_or_empty(self.spark, f"{self.root}/{table.name}", schema)
+        path = f"{self.root}/{table.name}"
+        if table is HOT:  # written only when there are any
+            stored = read_or_empty(self.spark, path, schema)
+        else:
+            stored = self.spark.read.schema(schema).parquet(path)
         return stored.filter(F.col(LOAD_ID) <= self.last_load).select(*schema.names)
 
     def current(self, table: Table) -> DataFrame:
@@ -193,11 +212,14 @@ def load_batch(
     load_id: int,
     years: tuple[int, int] | None = None,
     require_known_zone: bool = False,
+    source: str | None = None,
+    batch: int | None = None,
 ) -> Warehouse:
     """Append one batch: facts, pairs not stored yet, and new or changed dimension rows.
 
-    ``trips`` is a scan of raw files with its source row (``with_source_row``). Running a
-    load again replaces it; loads are numbered upwards.
+    ``trips`` is a scan of raw files with its source row (``with_source_row``). Loads are
+    numbered upwards. The last load may be run again, which replaces it; an earlier one
+    may not, as the keys after it are taken, nor may one that another stream batch wrote.
     """
     spark = trips.sparkSession
     check_contract(trips, schemas.RAW_TRIP)
@@ -205,6 +227,7 @@ def load_batch(
     root = root.rstrip("/")
     staging = f"{root}/staging/load_id={int(load_id)}"
     before = Warehouse(spark, root, before_load=load_id)
+    _require_free(spark, root, load_id, source, batch)
     require_unique(zones, "LocationID")
     valid = valid_trips(trips, years)
 
@@ -257,12 +280,27 @@ def load_batch(
     done = spark.range(1).select(
         F.lit(next_trip).cast("long").alias("next_trip_id"),
         F.lit(next_datetime).cast("long").alias("next_datetime_id"),
+        F.lit(source).cast("string").alias("source"),
+        F.lit(batch).cast("long").alias("batch"),
     )
     write_parquet(done, f"{root}/loads/{LOAD_ID}={int(load_id)}")
     remove_folder(spark, staging)
     return Warehouse(spark, root)
 
 
+def _require_free(
+    spark: SparkSession, root: str, load_id: int, source: str | None, batch: int | None
+) -> None:
+    loads = read_or_empty(spark, f"{root}/loads", LOADS).filter(F.col(LOAD_ID) >= load_id)
+    last = loads.orderBy(F.desc(LOAD_ID)).limit(1).collect()
+    if not last:
+        return
+    if last[0][LOAD_ID] > load_id:
+        raise ValueError(f"load {load_id} is followed by load {last[0][LOAD_ID]}")
+    if (last[0]["source"], last[0]["batch"]) != (source, batch):
+        raise ValueError(f"load {load_id} was written from {last[0]['source']}")
+
+
 def _stored_pairs(dim_datetime: DataFrame, pairs: DataFrame) -> DataFrame:
     """The stored rows of a batch's pairs, read from the months the batch spans."""
     month = F.col("pick_year") * 12 + F.col("pick_month")
