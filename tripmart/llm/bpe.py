@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from tripmart.llm.common import process_cache, with_field
 
 # Pieces whose ids a worker remembers in each half of its memory.
-MAX_REMEMBERED = 250_000
+MAX_REMEMBERED = 320_000
 # Bytes of ids after which a task hands on what it has.
 BATCH_BYTES = 8 << 20
 # Pieces beyond this length are not remembered.
