@@ -18,6 +18,8 @@ def test_query_equals_its_sql(spark, name):
         connection.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = connection.sql(queries.ORACLES[name]).to_arrow_table()
     columns = sorted(want.column_names)
+    kinds = {field.name: str(field.type).removeprefix("large_") for field in found.schema}
+    assert kinds == {field.name: str(field.type).removeprefix("large_") for field in want.schema}
 
     def rows(table):
         return sorted(map(tuple, zip(*(table.column(c).to_pylist() for c in columns))), key=repr)
