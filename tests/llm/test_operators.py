@@ -475,6 +475,32 @@ def test_near_duplicates_equal_brute_force(spark, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
+def test_links_between_members_that_no_centre_is_linked_with(spark):
+    random = np.random.default_rng(11)
+    docs = []
+    for family in range(2):
+        base = [f"word{n}" for n in random.integers(0, 3000, 200)]
+        for member in range(400):
+            text = list(base)
+            for place in random.integers(0, 200, int(random.choice([4, 5, 6, 8]))):
+                text[place] = f"own{family}x{member}x{place}"
+            docs.append(" ".join(text))
+            if member % 8 == 0:  # a copy of the copy, close to it alone
+                text[int(random.integers(0, 200))] = f"again{member}"
+                docs.append(" ".join(text))
+    sets = {}
+    for i, text in enumerate(docs):
+        own = text.split()
+        sets[i] = {tuple(own[k : k + 5]) for k in range(len(own) - 4)}
+    links = [
+        (a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    ]
+    roots = _reach(sets, links)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    found = minhash.near_duplicates(df, threshold_percent=85).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(roots)
+
+
 def test_sketch_of_few_and_many_values():
     random = np.random.default_rng(10)
     for size in (1, 2, 7, 100, 5000):

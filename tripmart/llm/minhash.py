@@ -8,6 +8,11 @@ other but with two of its members, so candidates grow with the members of bucket
 found in the largest buckets, which in a family of edited copies is the one they were made
 from, and one drawn by a hash that differs from band to band. Candidates are confirmed on
 their whole shingle sets.
+
+Two members of a bucket that no centre brought into one component are left over. The texts of
+such buckets are compared once more, exactly: of two sets at the threshold each holds one of
+the rarest shingles of the other, as many as the sets may differ by and one more, so only
+texts of different components that meet in one of these are confirmed.
 """
 
 from collections.abc import Iterator
@@ -160,11 +165,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """(a, b): each class beside the chosen members of its buckets, sizes permitting."""
+def _in_buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, digest, n, size) of the classes in buckets of two or more."""
     members = classes.select("digest", "n", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = stored(members.join(stored(sizes, "buckets"), "bucket"), "members")
+    return stored(members.join(stored(sizes, "buckets"), "bucket"), "members")
+
+
+def _candidates(shared: DataFrame) -> DataFrame:
+    """(a, n_a, b, n_b): each class beside the chosen members of its buckets."""
     weights = shared.groupBy("digest").agg(F.sum("size").alias("weight"))
     weighed = shared.join(weights, "digest")
     hub = F.max(F.struct("weight", "digest", "n")).alias("hub")
@@ -183,6 +192,109 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return pairs.select("a", "n_a", "other.b", "other.n_b").filter("a <> b")
 
 
+def _unordered(pairs: DataFrame, threshold_percent: int) -> DataFrame:
+    """Distinct (a, b) of the pairs (a, n_a, b, n_b) whose sizes allow a link."""
+    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    a, b = F.least("a", "b"), F.greatest("a", "b")
+    close = pairs.filter(100 * least >= threshold_percent * most)
+    return close.select(a.alias("a"), b.alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets reach the threshold."""
+    one = sets.select(F.col("digest").alias("a"), F.col("hashes").alias("set_a"))
+    two = sets.select(F.col("digest").alias("b"), F.col("hashes").alias("set_b"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    linked = 100 * common >= threshold_percent * union
+    return pairs.join(one, "a").join(two, "b").filter(linked).select("a", "b")
+
+
+def _unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(digest, root) of the classes in buckets whose members are in several components.
+
+    In a bucket of two the only pair has been confirmed or refused.
+    """
+    named = shared.filter("size > 2").join(
+        roots.withColumnRenamed("node", "digest"), "digest", "left"
+    )
+    named = named.select("bucket", "digest", F.coalesce("root", "digest").alias("root"))
+    several = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    several = several.filter("low <> high").select("bucket")
+    return stored(
+        named.join(several, "bucket").groupBy("digest").agg(F.first("root").alias("root")),
+        "unsettled",
+    )
+
+
+def _leftover_pairs(unsettled: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
+    """(a, b), the lower first, of different components that may reach the threshold.
+
+    Sets of n shingles that link share ceil(threshold * n) or more, so in any order that all
+    sets follow they meet within the first n - ceil(threshold * n) + 1 shingles of each.
+    Here the rarest come first. Shingles of one set only come before all others and meet
+    nothing; they are counted and not moved. Of the texts that meet in a shingle, those of
+    the most frequent component are not compared with each other. What two sets share beyond
+    their first shingles is at most ceil(threshold * n) - 1 of the larger n, so the number
+    of shingles they meet in tells most pairs that cannot link.
+    """
+    held = sets.join(unsettled, "digest")
+    shingle = F.explode("hashes").alias("shingle")
+    common = held.select(shingle).groupBy("shingle").agg(F.count("*").alias("texts"))
+    common = stored(common.filter("texts > 1"), "shingles")
+    places = held.select("digest", shingle).join(common, "shingle")
+    ordered = places.groupBy("digest").agg(
+        F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("common")
+    )
+    sized = held.select("digest", "root", F.size("hashes").alias("n"))
+    needed = f"({{}} * {int(threshold_percent)}L + 99) div 100"
+    first = (F.size("common") - F.expr(needed.format("n")) + 1).cast("int")
+    leading = (
+        ordered.join(sized, "digest")
+        .withColumn("first", first)
+        .filter("first > 0")
+        .select("digest", "root", "n", F.explode(F.slice("common", 1, F.col("first"))).alias("at"))
+    )
+    leading = stored(leading.select("at.shingle", "digest", "root", "n"), "leading")
+    per_root = leading.groupBy("shingle", "root").agg(F.count("*").alias("texts"))
+    met = per_root.groupBy("shingle").agg(
+        F.max(F.struct("texts", "root"))["root"].alias("main"), F.count("*").alias("roots")
+    )
+    met = stored(met.filter("roots > 1").select("shingle", "main"), "met")
+    others = leading.join(met, "shingle").filter("root <> main")
+    others = others.select(
+        "shingle",
+        "main",
+        F.col("root").alias("other_root"),
+        F.struct("digest", "n").alias("one"),
+    )
+    every = leading.select("shingle", "root", F.struct("digest", "n").alias("two"))
+    each_once = (F.col("root") == F.col("main")) | (F.col("one") < F.col("two"))
+    meetings = others.join(every, "shingle").filter("root <> other_root").filter(each_once)
+    counted = meetings.groupBy(
+        F.least("one", "two").alias("low"), F.greatest("one", "two").alias("high")
+    ).agg(F.count("*").alias("met"))
+    larger, smaller = F.greatest("low.n", "high.n"), F.least("low.n", "high.n")
+    most = F.col("met") + F.expr(needed.format("greatest(low.n, high.n)")) - 1
+    return counted.filter(
+        (100 * smaller >= threshold_percent * larger)
+        & ((100 + threshold_percent) * most >= threshold_percent * (larger + smaller))
+    ).select(F.col("low.digest").alias("a"), F.col("high.digest").alias("b"))
+
+
+def _joined_roots(links: DataFrame, unsettled: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root) after links between components; a class without links is its own root."""
+    one = unsettled.select(F.col("digest").alias("a"), F.col("root").alias("root_a"))
+    two = unsettled.select(F.col("digest").alias("b"), F.col("root").alias("root_b"))
+    edges = links.join(one, "a").join(two, "b")
+    merged = components(edges.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    merged = stored(merged.select(F.col("node").alias("root"), F.col("root").alias("last")), "merged")
+    ends = merged.select(F.col("root").alias("node"), "last")
+    below = roots.join(merged, "root", "left").select("node", F.coalesce("last", "root").alias("root"))
+    alone = ends.join(roots, "node", "left_anti").select("node", F.col("last").alias("root"))
+    return below.union(alone)
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -198,7 +310,7 @@ def near_duplicates(
     be null, and it is kept then. Rows that repeat a key are each linked by their own text.
 
     A pair at the threshold agrees in a given band with chance 0.8 ** 4, so it shares none
-    of the 32 buckets once in 10 million. Sets travel for candidates only, to the class they are
+    of the 32 buckets once in 10 million; one that shares a bucket is not missed. Sets travel for candidates only, to the class they are
     compared with; a class with very many candidates is one row, met by a join that can be
     split.
     """
@@ -216,11 +328,10 @@ def near_duplicates(
         F.first("bands").alias("bands"),
     )
     classes = stored(grouped, "classes")
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    a, b = F.least("a", "b"), F.greatest("a", "b")
-    pairs = _candidates(classes).filter(100 * least >= threshold_percent * most)
-    pairs = stored(pairs.select(a.alias("a"), b.alias("b")).distinct(), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+    shared = _in_buckets(classes)
+    pairs = stored(_unordered(_candidates(shared), threshold_percent), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest"))
+    wanted = wanted.union(shared.filter("size > 2").select("digest")).distinct()
     wanted = stored(classes.select("digest", "doc_id").join(wanted, "digest"), "wanted")
     wanted = wanted.withColumnRenamed("doc_id", "_wanted")
     # merged at any size: texts are to move alike however few are wanted
@@ -231,12 +342,11 @@ def near_duplicates(
         ),
         "sets",
     )
-    one = sets.select(F.col("digest").alias("a"), F.col("hashes").alias("set_a"))
-    two = sets.select(F.col("digest").alias("b"), F.col("hashes").alias("set_b"))
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    links = pairs.join(one, "a").join(two, "b").filter(100 * common >= threshold_percent * union)
-    roots = components(links.select("a", "b"))
+    roots = components(_confirmed(pairs, sets, threshold_percent))
+    unsettled = _unsettled(shared, roots)
+    left = _leftover_pairs(unsettled, sets, threshold_percent)
+    left = stored(left.join(pairs, ["a", "b"], "left_anti"), "leftover")
+    roots = _joined_roots(_confirmed(left, sets, threshold_percent), unsettled, roots)
     rooted = sketches.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "digest").alias("root")
     )
