@@ -475,30 +475,32 @@ def test_near_duplicates_equal_brute_force(spark, odd, none):
     assert minhash.near_duplicates(none).count() == 0
 
 
-def test_links_between_members_that_no_centre_is_linked_with(spark):
+@pytest.mark.parametrize("threshold", [80, 85])
+def test_leftover_texts_are_compared_exactly(spark, threshold):
+    """The pass over unsettled buckets finds all links between different components alone."""
     random = np.random.default_rng(11)
-    docs = []
-    for family in range(2):
-        base = [f"word{n}" for n in random.integers(0, 3000, 200)]
-        for member in range(400):
-            text = list(base)
-            for place in random.integers(0, 200, int(random.choice([4, 5, 6, 8]))):
-                text[place] = f"own{family}x{member}x{place}"
-            docs.append(" ".join(text))
-            if member % 8 == 0:  # a copy of the copy, close to it alone
-                text[int(random.integers(0, 200))] = f"again{member}"
-                docs.append(" ".join(text))
     sets = {}
-    for i, text in enumerate(docs):
-        own = text.split()
-        sets[i] = {tuple(own[k : k + 5]) for k in range(len(own) - 4)}
-    links = [
-        (a, b) for a, b in combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
-    ]
-    roots = _reach(sets, links)
-    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
-    found = minhash.near_duplicates(df, threshold_percent=85).collect()
-    assert {r.doc_id: r.component_id for r in found} == dict(roots)
+    for family in range(3):
+        base = random.integers(-(1 << 62), 1 << 62, 100)
+        for member in range(60):
+            edits = int(random.integers(0, 25))
+            own = np.concatenate([base[edits:], random.integers(-(1 << 62), 1 << 62, edits)])
+            sets[bytes([family, member])] = set(own[int(random.integers(0, 4)) :].tolist())
+    sets[b"one"], sets[b"two"] = {1}, {1, 2}
+    roots = {name: bytes([name[0], name[1] % 7]) for name in sets}
+    want = {
+        (a, b)
+        for a, b in combinations(sorted(sets), 2)
+        if roots[a] != roots[b] and 100 * len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])
+    }
+    held = spark.createDataFrame(
+        [(name, sorted(own)) for name, own in sets.items()], "digest binary, hashes array<bigint>"
+    )
+    unsettled = spark.createDataFrame(list(roots.items()), "digest binary, root binary")
+    pairs = minhash._leftover_pairs(unsettled, held, threshold)
+    assert pairs.count() == pairs.distinct().count()
+    links = minhash._confirmed(pairs, held, threshold)
+    assert want and {(bytes(r.a), bytes(r.b)) for r in links.collect()} == want
 
 
 def test_sketch_of_few_and_many_values():
