@@ -24,6 +24,11 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert amounts.limit(0).agg(exact_sum("x")).first()[0] is None
 
 
+def test_exact_sum_keeps_digits_beyond_the_fourth(spark):
+    small = spark.range(1000).select(F.lit(0.00004).alias("x")).repartition(4)
+    assert small.agg(exact_sum("x")).first()[0] == Decimal("0.04")
+
+
 def test_weekday_names(spark):
     days = spark.range(1, 8).select(weekday_name(F.col("id").cast("int")).alias("day"))
     assert [row["day"] for row in days.collect()] == [

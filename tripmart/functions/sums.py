@@ -7,12 +7,15 @@ _UNITS = 10_000
 
 
 def exact_sum(amount: Column | str) -> Column:
-    """Sum a double column to four places; the result is a decimal(26,4).
+    """Sum a double column without losing digits; the result is a decimal of twelve places.
 
     Rows are added as whole ten-thousandths in a long, which is exact in any order and
     costs no more than a sum of doubles, while a decimal per row takes ten times as long.
-    A group may total some 900 trillion; beyond that ANSI mode raises.
+    What a row holds beyond four places is added as a double; it is zero for amounts of
+    four places or fewer. A group may total some 900 trillion; beyond that, and for an
+    infinite amount, ANSI mode raises.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
-    units = F.sum(F.rint(amount * _UNITS).cast("bigint")).cast("decimal(20,0)")
-    return units * F.lit("0.0001").cast("decimal(5,4)")
+    whole = F.rint(amount * _UNITS)
+    units = F.sum(whole.cast("bigint")).cast("decimal(20,0)") * F.lit("0.0001").cast("decimal(5,4)")
+    return units + F.sum(amount - whole / _UNITS).cast("decimal(30,12)")
