@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tripmart.checks.fixtures import land_green, land_mixed_layouts
@@ -47,6 +48,21 @@ def test_mixed_layouts_become_one(spark, trips, rows):
     assert rows(merged) == rows(complete_trips(trips))
 
 
+def test_layouts_may_differ_within_an_area(spark, trips, rows):
+    area = new_folder(spark, "one area")
+    for path in land_mixed_layouts(spark, trips):
+        spark.read.parquet(path).write.mode("append").parquet(area)
+    assert rows(read_files(spark, [area])) == rows(complete_trips(trips))
+
+
+def test_a_file_without_a_column_raises(spark, trips):
+    area = new_folder(spark, "area")
+    trips.write.parquet(area)
+    trips.withColumnRenamed("tip_amount", "tips").write.mode("append").parquet(area)
+    with pytest.raises(AnalysisException, match="tip_amount"):
+        read_files(spark, [area])
+
+
 def test_green_columns_are_renamed(spark, trips, rows):
     green = read_files(spark, [land_green(spark, trips)], GREEN_RENAMES)
     assert rows(green) == rows(complete_trips(trips))

@@ -354,8 +354,8 @@ def agg_per_year(spark, sf_dir):
 
 @_register
 def agg_wide_key(spark, sf_dir):
-    zone_columns = ("PULocationID", "X", "Y", "zone", "borough", "service_zone")
-    return _star(spark, sf_dir).groupBy("pick_year", *zone_columns).agg(marts.trip_count())
+    stored = stored_warehouse(spark, sf_dir)
+    return marts.trips_per_year_and_zone(stored, "pu_location_id", stored.dim_pickup_location())
 
 
 @_register

@@ -111,7 +111,7 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     sub = job("normalise", _normalise, "bring monthly files to the raw contract", "out")
-    sub.add_argument("--files", nargs="+", required=True, help="areas of one layout each")
+    sub.add_argument("--files", nargs="+", required=True, help="areas of any layouts")
     sub.add_argument("--fleet", choices=["yellow", "green"], default="yellow")
     sub.add_argument("--out", required=True)
 

@@ -104,14 +104,21 @@ def agg_per_payment(totals: DataFrame) -> DataFrame:
     )
 
 
-def _trips_per_location(warehouse: Warehouse, fact_key: str, zones: DataFrame, side: str) -> DataFrame:
+def trips_per_year_and_zone(warehouse: Warehouse, fact_key: str, zones: DataFrame) -> DataFrame:
+    """Trips per pickup year and zone, counted by year and id before zones are joined."""
+    key = zones.columns[0]
     per_zone = (
         warehouse.fact_with_calendar()
-        .groupBy(F.col("pick_year").alias("year"), F.col(fact_key).alias("LocationID"))
+        .groupBy("pick_year", F.col(fact_key).alias(key))
         .agg(trip_count())
     )
-    named = zones.withColumnsRenamed({zones.columns[0]: "LocationID", "X": f"{side}_x", "Y": f"{side}_y"})
-    return per_zone.join(named, "LocationID").select("year", *named.columns, "total_trips")
+    return per_zone.join(zones, key).select("pick_year", *zones.columns, "total_trips")
+
+
+def _trips_per_location(warehouse: Warehouse, fact_key: str, zones: DataFrame, side: str) -> DataFrame:
+    counted = trips_per_year_and_zone(warehouse, fact_key, zones)
+    names = {"pick_year": "year", zones.columns[0]: "LocationID", "X": f"{side}_x", "Y": f"{side}_y"}
+    return counted.withColumnsRenamed(names)
 
 
 def trips_per_pu_location(warehouse: Warehouse) -> DataFrame:

@@ -1,6 +1,9 @@
 """Bring monthly files of differing layout to the raw trip contract."""
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from tripmart.sources.trips import SOURCE_FILE
 PERIOD_PATTERN = r"_tripdata_(\d{4})-(\d{2})"
 # Fixed value: releases up to this year have no zone ids.
 LAST_YEAR_WITHOUT_ZONES = 2010
+FOOTERS_AT_ONCE = 16
 
 
 def keep_contract_columns(df: DataFrame) -> DataFrame:
@@ -29,26 +33,35 @@ def cast_to_contract(df: DataFrame) -> DataFrame:
 def read_files(
     spark: SparkSession, paths: Iterable[str], renames: dict[str, str] | None = None
 ) -> DataFrame:
-    """Trips of several areas in one frame, each area read with the types its files have.
+    """Trips of several areas in one frame, each file read with the types it has.
 
-    A long schema cannot read a double file, so areas are read natively and cast. Areas
-    of equal layout share one scan, which keeps the plan as small as the number of
-    layouts. All files of one area must have one layout.
+    A long schema cannot read a double file, and a column of another name would read as
+    null, so each file's layout is looked up in its footer. Files of equal layout share one
+    scan, which keeps the plan as small as the number of layouts. A layout without a column
+    of the contract raises.
     """
-    areas_by_layout: dict[str, list[str]] = {}
-    for path in paths:
-        layout = spark.read.option("recursiveFileLookup", True).parquet(path).schema.json()
-        areas_by_layout.setdefault(layout, []).append(path)
-    if not areas_by_layout:
+    frames = [
+        normalise(spark.read.option("recursiveFileLookup", True).parquet(*files), renames)
+        for files in _files_by_layout(spark, paths).values()
+    ]
+    if not frames:
         raise ValueError("no area to read")
-    frames = []
-    for areas in areas_by_layout.values():
-        native = spark.read.option("recursiveFileLookup", True).parquet(*areas)
-        frames.append(normalise(native, renames))
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame)
-    return merged
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _files_by_layout(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
+    """The files of all areas by their schema. Footers are read side by side."""
+    areas = [spark.read.option("recursiveFileLookup", True).parquet(path) for path in paths]
+    files = sorted(unquote(name) for area in areas for name in area.inputFiles())
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as readers:
+        layouts = readers.map(
+            lambda name: spark.read.option("recursiveFileLookup", True).parquet(name).schema.json(),
+            files,
+        )
+        by_layout: dict[str, list[str]] = {}
+        for layout, name in zip(layouts, files):
+            by_layout.setdefault(layout, []).append(name)
+    return by_layout
 
 
 def normalise(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
