@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import components, process_cache, stored, words_of
@@ -30,6 +30,8 @@ BINS = 128
 BAND_BINS = 4
 BANDS = BINS // BAND_BINS
 THRESHOLD_PERCENT = 80
+# Longs of a parity bitmap, with 64 bits each.
+BITMAP_LONGS = 8
 # Words whose hash a worker remembers.
 MAX_REMEMBERED = 400_000
 
@@ -227,6 +229,34 @@ def _unsettled(shared: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
+def _parity_bits() -> list[Column]:
+    """The bitmap of a set ``hashes``: of a bit, whether an odd number of its hashes fall on it."""
+    return [
+        F.expr(
+            f"aggregate(hashes, 0L, (bits, x) -> bits ^ if((x & {BITMAP_LONGS - 1}) = {place}, "
+            f"shiftleft(1L, cast((x >> {BITMAP_LONGS.bit_length() - 1}) & 63 as int)), 0L))"
+        ).alias(f"bits{place}")
+        for place in range(BITMAP_LONGS)
+    ]
+
+
+def _may_link(one: str, two: str, threshold_percent: int) -> Column:
+    """Whether two sets, known by size ``n`` and bitmap, may reach the threshold.
+
+    What is in both sets falls out of the bitmaps' difference, so the bits that differ are no
+    more than the hashes in one set only. Linked sets have at most a share
+    (1 - threshold) / (1 + threshold) of both sizes in one only.
+    """
+    n, m = F.col(f"{one}.n"), F.col(f"{two}.n")
+    differing = sum(
+        F.bit_count(F.col(f"{one}.bits{i}").bitwiseXOR(F.col(f"{two}.bits{i}")))
+        for i in range(BITMAP_LONGS)
+    )
+    return (100 * F.least(n, m) >= threshold_percent * F.greatest(n, m)) & (
+        (100 + threshold_percent) * differing <= (100 - threshold_percent) * (n + m)
+    )
+
+
 def _leftover_pairs(unsettled: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
     """(a, b), the lower first, of different components that may reach the threshold.
 
@@ -234,9 +264,11 @@ def _leftover_pairs(unsettled: DataFrame, sets: DataFrame, threshold_percent: in
     sets follow they meet within the first n - ceil(threshold * n) + 1 shingles of each.
     Here the rarest come first. Shingles of one set only come before all others and meet
     nothing; they are counted and not moved. Of the texts that meet in a shingle, those of
-    the most frequent component are not compared with each other. What two sets share beyond
-    their first shingles is at most ceil(threshold * n) - 1 of the larger n, so the number
-    of shingles they meet in tells most pairs that cannot link.
+    the most frequent component are not compared with each other, and a meeting counts only
+    if sizes and bitmaps allow a link: in a family of edited copies all texts meet in what few
+    of them have edited, and the bitmaps part those that differ too much. What two sets share
+    beyond their first shingles is at most ceil(threshold * n) - 1 of the larger n, so the
+    number of shingles they meet in tells most pairs that cannot link.
     """
     held = sets.join(unsettled, "digest")
     shingle = F.explode("hashes").alias("shingle")
@@ -246,16 +278,19 @@ def _leftover_pairs(unsettled: DataFrame, sets: DataFrame, threshold_percent: in
     ordered = places.groupBy("digest").agg(
         F.sort_array(F.collect_list(F.struct("texts", "shingle"))).alias("common")
     )
-    sized = held.select("digest", "root", F.size("hashes").alias("n"))
+    sized = held.select("digest", "root", F.size("hashes").alias("n"), *_parity_bits())
+    bits = [f"bits{place}" for place in range(BITMAP_LONGS)]
     needed = f"({{}} * {int(threshold_percent)}L + 99) div 100"
     first = (F.size("common") - F.expr(needed.format("n")) + 1).cast("int")
     leading = (
         ordered.join(sized, "digest")
         .withColumn("first", first)
         .filter("first > 0")
-        .select("digest", "root", "n", F.explode(F.slice("common", 1, F.col("first"))).alias("at"))
+        .select(
+            "digest", "root", "n", *bits, F.explode(F.slice("common", 1, F.col("first"))).alias("at")
+        )
     )
-    leading = stored(leading.select("at.shingle", "digest", "root", "n"), "leading")
+    leading = stored(leading.select("at.shingle", "digest", "root", "n", *bits), "leading")
     per_root = leading.groupBy("shingle", "root").agg(F.count("*").alias("texts"))
     met = per_root.groupBy("shingle").agg(
         F.max(F.struct("texts", "root"))["root"].alias("main"), F.count("*").alias("roots")
@@ -266,11 +301,17 @@ def _leftover_pairs(unsettled: DataFrame, sets: DataFrame, threshold_percent: in
         "shingle",
         "main",
         F.col("root").alias("other_root"),
-        F.struct("digest", "n").alias("one"),
+        F.struct("digest", "n", *bits).alias("one"),
+    )
+    every = leading.select("shingle", "root", F.struct("digest", "n", *bits).alias("two"))
+    each_once = (F.col("root") == F.col("main")) | (F.col("one.digest") < F.col("two.digest"))
+    meetings = (
+        others.join(every, "shingle")
+        .filter("root <> other_root")
+        .filter(each_once)
+        .filter(_may_link("one", "two", threshold_percent))
+        .select(F.struct("one.digest", "one.n").alias("one"), F.struct("two.digest", "two.n").alias("two"))
     )
-    every = leading.select("shingle", "root", F.struct("digest", "n").alias("two"))
-    each_once = (F.col("root") == F.col("main")) | (F.col("one") < F.col("two"))
-    meetings = others.join(every, "shingle").filter("root <> other_root").filter(each_once)
     counted = meetings.groupBy(
         F.least("one", "two").alias("low"), F.greatest("one", "two").alias("high")
     ).agg(F.count("*").alias("met"))
