@@ -1,10 +1,12 @@
+import math
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import code_label, in_years, weekday_name
-from tripmart.functions.sums import exact_sum
+from tripmart.functions.sums import exact_sum, exact_total
 from tripmart.schemas import VENDOR_NAMES
 
 
@@ -29,6 +31,28 @@ def test_exact_sum_keeps_digits_beyond_the_fourth(spark):
     assert small.agg(exact_sum("x")).first()[0] == Decimal("0.04")
 
 
+def test_exact_total_passes_endless_amounts_through(spark):
+    inf = float("inf")
+    groups = {"a": [1.5, inf], "b": [inf, -inf, 1.0], "c": [float("nan"), 2.0], "d": [0.1, 0.2, None], "e": [None]}
+    df = spark.createDataFrame([(k, v) for k, own in groups.items() for v in own], "k string, x double")
+    found = {r.k: r.total for r in df.groupBy("k").agg(exact_total("x").alias("total")).collect()}
+    assert found["a"] == inf and math.isnan(found["b"]) and math.isnan(found["c"])
+    assert found["d"] == 0.3 and found["e"] is None
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("amounts", [[5e14, 5e14], [1e16, -1e16]])
+def test_totals_out_of_range_raise_in_any_mode(spark, ansi, amounts):
+    df = spark.createDataFrame([(v,) for v in amounts], "x double").repartition(2)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            df.agg(exact_total("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_weekday_names(spark):
     days = spark.range(1, 8).select(weekday_name(F.col("id").cast("int")).alias("day"))
     assert [row["day"] for row in days.collect()] == [

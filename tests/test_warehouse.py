@@ -99,6 +99,22 @@ def test_reports_add_up(warehouse):
     assert per_year < everything
 
 
+def test_endless_amount_reaches_the_reports(spark, warehouse):
+    """One infinite amount makes the totals it belongs to infinite and leaves the others as they are."""
+    year = warehouse.fact_with_calendar().agg(F.min("pick_year")).first()[0]
+    amount = F.when(F.col("pick_year") == year, F.lit(float("inf"))).otherwise(F.col("total_amount"))
+    endless = Warehouse(spark, warehouse.root)
+    endless.fact_with_calendar = lambda: warehouse.fact_with_calendar().withColumn("total_amount", amount)
+    found = {r["year"]: r for r in marts.agg_per_year(marts.paid_totals(endless)).collect()}
+    for row in marts.agg_per_year(marts.paid_totals(warehouse)).collect():
+        if row["year"] != year:
+            assert found[row["year"]] == row
+        else:
+            assert found[year]["total_amount"] == found[year]["average_amount_per_trip"] == float("inf")
+            assert found[year]["total_distance"] == row["total_distance"]
+    assert marts.agg_total(endless).first()["total_amount"] == float("inf")
+
+
 def test_repeated_and_failed_loads_change_nothing(spark, raw_year, zones, rows, monkeypatch):
     root = new_folder(spark, "warehouse")
     init_warehouse(raw_year(1995), zones, root)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import weekday_name
-from tripmart.functions.sums import exact_sum
+from tripmart.functions.sums import endless_sum, exact_sum, finite
 from tripmart.operators.filters import paid
 from tripmart.operators.sinks import publish, read_published
 from tripmart.plans.warehouse import Warehouse
@@ -24,17 +24,23 @@ def _totals() -> list[Column]:
     return [
         trip_count(),
         F.sum("passenger_count").alias("total_passengers"),
-        exact_sum("trip_distance").alias("total_distance"),
-        exact_sum("total_amount").alias("total_amount"),
+        exact_sum(finite("trip_distance")).alias("total_distance"),
+        exact_sum(finite("total_amount")).alias("total_amount"),
+        endless_sum("trip_distance").alias("endless_distance"),
+        endless_sum("total_amount").alias("endless_amount"),
     ]
 
 
-def _as_double(total: str) -> Column:
-    return F.col(total).cast("double").alias(total)
+def _double(noun: str) -> Column:
+    """A total as a double; one that has an infinite amount or NaN is what those add up to."""
+    return F.coalesce(f"endless_{noun}", F.col(f"total_{noun}").cast("double"))
 
 
-def _per_trip(noun: str) -> Column:
-    total = F.col(f"total_{noun}").cast("double")
+def _as_double(noun: str) -> Column:
+    return _double(noun).alias(f"total_{noun}")
+
+
+def _per_trip(noun: str, total: Column) -> Column:
     return (total / F.col("total_trips")).alias(f"average_{noun}_per_trip")
 
 
@@ -46,10 +52,10 @@ def agg_total(warehouse: Warehouse) -> DataFrame:
         .select(
             "total_trips",
             "total_passengers",
-            _as_double("total_distance"),
-            _as_double("total_amount"),
-            _per_trip("distance"),
-            _per_trip("amount"),
+            _as_double("distance"),
+            _as_double("amount"),
+            _per_trip("distance", _double("distance")),
+            _per_trip("amount", _double("amount")),
         )
     )
 
@@ -70,12 +76,14 @@ def paid_totals(warehouse: Warehouse) -> DataFrame:
         "total_passengers",
         "total_distance",
         "total_amount",
+        "endless_distance",
+        "endless_amount",
     )
 
 
 def agg_per_year(totals: DataFrame) -> DataFrame:
     """Totals and averages per year, from ``paid_totals``."""
-    names = ("total_trips", "total_passengers", "total_distance", "total_amount")
+    names = [name for name in totals.columns if name.startswith(("total_", "endless_"))]
     return (
         totals.groupBy("year")
         .agg(*(F.sum(name).alias(name) for name in names))
@@ -83,11 +91,11 @@ def agg_per_year(totals: DataFrame) -> DataFrame:
             "year",
             "total_trips",
             "total_passengers",
-            _as_double("total_distance"),
-            _as_double("total_amount"),
-            _per_trip("passengers"),
-            _per_trip("distance"),
-            _per_trip("amount"),
+            _as_double("distance"),
+            _as_double("amount"),
+            _per_trip("passengers", F.col("total_passengers").cast("double")),
+            _per_trip("distance", _double("distance")),
+            _per_trip("amount", _double("amount")),
         )
     )
 
