@@ -351,9 +351,9 @@ def near_duplicates(
     be null, and it is kept then. Rows that repeat a key are each linked by their own text.
 
     A pair at the threshold agrees in a given band with chance 0.8 ** 4, so it shares none
-    of the 32 buckets once in 10 million; one that shares a bucket is not missed. Sets travel for candidates only, to the class they are
-    compared with; a class with very many candidates is one row, met by a join that can be
-    split.
+    of the 32 buckets once in 10 million; one that shares a bucket is not missed. Sets travel
+    for candidates and for texts of buckets of three or more only; a class with very many
+    candidates is one row, met by a join that can be split.
     """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = stored(
