@@ -381,6 +381,54 @@ def test_spans_equal_brute_force(spark, odd, none):
     assert spans.dedup_spans(none).count() == 0
 
 
+def _lost(one, other, passage):
+    """Whether a span of two texts is equal inside the passage they share."""
+    keys = []
+    for text in (one, other):
+        parts = spans.sentences(text.encode())
+        ends = spans.span_ends([len(words) for *_, words in parts])
+        keys.append({b" ".join(w for *_, words in parts[a:b] for w in words) for a, b in enumerate(ends)})
+    inside = b" ".join(passage.encode().lower().split())
+    return not any(key in inside for key in keys[0] & keys[1])
+
+
+@pytest.mark.parametrize("stops", [0, 0.03, 0.08, 0.3])
+def test_no_passage_of_51_words_is_missed(stops):
+    random = np.random.default_rng(12)
+
+    def prose(n):
+        return [f"w{i}" + "." * int(random.random() < stops) for i in random.integers(0, 3000, n)]
+
+    missed = 0
+    for length in range(51, 61):
+        for _ in range(100):
+            passage = prose(length)
+            texts = [
+                " ".join(prose(int(random.integers(0, 90))) + passage + prose(int(random.integers(0, 90))))
+                for _ in range(2)
+            ]
+            missed += _lost(*texts, " ".join(passage))
+    assert missed == 0
+
+
+def test_unpunctuated_passages_go_from_later_documents(spark):
+    random = np.random.default_rng(13)
+    words = [f"w{i}" for i in range(3000)]
+    docs, shared = [], {}
+    for group in range(100):
+        passage = list(random.choice(words, 51 + group % 10))
+        for copy in range(2):
+            lead, rest = (list(random.choice(words, int(random.integers(30, 90)))) for _ in range(2))
+            docs.append((2 * group + copy, " ".join(lead + passage + rest)))
+            shared[2 * group + copy] = passage
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = spans.dedup_spans(df).collect()
+    assert Counter((r.doc_id, r.text, r.n_sentences, r.n_removed) for r in found) == _deduped(docs)
+    for r in found:
+        assert (r.n_removed > 0) == (r.doc_id % 2 == 1)
+        assert r.n_removed or r.text == dict(docs)[r.doc_id]
+
+
 def test_sentences_cover_a_text():
     for text in (" lead. One two! Three?\n\nfour", "x " * 100, "\n \n", "", "a.b.c no end"):
         parts = spans.sentences(text.encode())

@@ -8,6 +8,7 @@ order of document and place; sentences covered by any other occurrence are remov
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
@@ -19,43 +20,71 @@ from tripmart.llm.common import stored, with_field
 # A span is the shortest run with so many sentences and words.
 MIN_SENTENCES = 2
 MIN_WORDS = 20
-# A sentence with this many words or more is cut further, after words chosen by their hash,
-# so that a passage without full stops is cut alike wherever it stands.
-LONG_SENTENCE = 24
-CUT_MASK = 7
+# A sentence with this many words or more is cut further, after each word whose hash is the least of
+# some WINDOW words in a row, so that a passage without full stops is cut alike wherever it stands.
+# Pieces are of WINDOW words at most, and which words inside a passage are cut after depends on
+# the passage alone from WINDOW words within it. In 51 shared words a span therefore begins after
+# 15 at most and ends with the 43rd at most, or where a sentence does.
+LONG_SENTENCE = 16
+WINDOW = 8
 
 # A sentence ends after full stops and the like before white space, or at a line break.
 _END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+# Steps by which minima of two words become minima of WINDOW words.
+_DOUBLINGS = (1, 2, 4)
 # The order of a document without id: after all others.
 _LAST = (1 << 63) - 1
 
 
+def _cut_after(words: list[bytes], lengths: list[int]) -> list[bool]:
+    """For each word of some long sentences, given their lengths, whether a piece ends with it."""
+    hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in words], np.uint64) | np.uint64(1)
+    ends = np.cumsum(lengths)
+    least, most = hashes, np.zeros(len(words) + WINDOW - 1, np.uint64)
+    for step in _DOUBLINGS:
+        least = np.minimum(least[:-step], least[step:])
+    most[WINDOW - 1 : len(words)] = least
+    # no window reaches over the end of a sentence
+    most[(ends[:-1, None] + np.arange(WINDOW - 1)).ravel()] = 0
+    for step in _DOUBLINGS:
+        most = np.maximum(most[:-step], most[step:])
+    cut = hashes == most
+    cut[ends - 1] = True
+    return cut.tolist()
+
+
 def sentences(data: bytes) -> list[tuple[int, int, list[bytes]]]:
     """Start, end and lower-cased words of the sentences, which cover a text without gaps.
 
-    White space goes with the sentence before it; a text without words has no sentence.
+    Long sentences are in pieces. White space goes with the sentence before it; a text without
+    words has no sentence.
     """
-    found: list[tuple[int, int, list[bytes]]] = []
+    whole: list[tuple[int, int, list[bytes]]] = []
     start = 0
     for end in [*(match.end() for match in _END.finditer(data)), len(data)]:
         words = data[start:end].lower().split()
-        if not words:
-            if found and end > start:
-                found[-1] = (found[-1][0], end, found[-1][2])
-                start = end
-            continue
+        if words:
+            whole.append((start, end, words))
+            start = end
+        elif whole and end > start:
+            whole[-1] = (whole[-1][0], end, whole[-1][2])
+            start = end
+    long = [words for _, _, words in whole if len(words) >= LONG_SENTENCE]
+    if not long:
+        return whole
+    cut = iter(_cut_after([word for words in long for word in words], [len(words) for words in long]))
+    found: list[tuple[int, int, list[bytes]]] = []
+    for start, end, words in whole:
         if len(words) < LONG_SENTENCE:
             found.append((start, end, words))
-        else:
-            since = 0
-            for place, match in enumerate(_WORD.finditer(data, start, end)):
-                if place + 1 < len(words) and xxhash.xxh3_64_intdigest(words[place]) & CUT_MASK:
-                    continue
-                found.append((start, match.end(), words[since : place + 1]))
-                start, since = match.end(), place + 1
-            found[-1] = (found[-1][0], end, found[-1][2])
-        start = end
+            continue
+        since = 0
+        for place, match in enumerate(_WORD.finditer(data, start, end), 1):
+            if next(cut):
+                found.append((start, match.end(), words[since:place]))
+                start, since = match.end(), place
+        found[-1] = (found[-1][0], end, found[-1][2])
     return found
 
 
@@ -126,11 +155,15 @@ def covered_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.xxhash64(text).alias("mark"),
         F.col(text).alias("text"),
     )
-    spans = rows.mapInArrow(_spans, _SPANS)
+    spans = stored(rows.mapInArrow(_spans, _SPANS), "spans")
+    # counted by plain columns first: only spans that repeat are ordered
+    repeated = spans.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(repeated.select("one", "two"), "repeated")
+    spans = stored(spans.join(repeated, ["one", "two"]), "spans")
     first = F.min(F.struct("document", "mark", "place")).alias("first")
-    repeated = spans.groupBy("one", "two").agg(first, F.count("*").alias("n")).filter("n > 1")
-    repeated = stored(repeated.select("one", "two", "first"), "spans")
-    later = spans.join(repeated, ["one", "two"]).filter(
+    # stored, so that a hot span is split in the join
+    firsts = stored(spans.groupBy("one", "two").agg(first), "firsts")
+    later = spans.join(firsts, ["one", "two"]).filter(
         F.struct("document", "mark", "place") != F.col("first")
     )
     return later.groupBy("document", "mark").agg(F.collect_set("place").alias("places"))
