@@ -493,6 +493,33 @@ def test_embeddings_equal_brute_force(spark):
     assert nndescent.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_outside_a_hot_family_are_not_lost(spark, monkeypatch):
+    random = np.random.default_rng(14)
+    hot, others = random.standard_normal(16), random.standard_normal((100, 16))
+    values = [hot + 0.02 * random.standard_normal(16) for _ in range(200)]
+    values += [centre + 0.02 * random.standard_normal(16) for centre in others for _ in range(2)]
+    values += list(random.standard_normal((200, 16)))
+    rows = [(i, value.tolist(), 0) for i, value in enumerate(values)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    unit = np.array(values) / np.linalg.norm(values, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.93
+    np.fill_diagonal(linked, False)
+    roots = _reach(range(len(rows)), zip(*map(np.ndarray.tolist, np.nonzero(linked))))
+    whole = nndescent.neighbour_lists
+
+    def hot_only(vectors, *more):
+        near = F.array(*map(F.lit, hot.tolist()))
+        value = F.col("embedding")
+        cos = F.aggregate(F.zip_with(value, near, lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+        size = F.sqrt(F.aggregate(value, F.lit(0.0), lambda x, y: x + y * y)) * float(np.linalg.norm(hot))
+        inside = df.filter(cos / size >= 0.9).select(F.xxhash64("label", "embedding").alias("src"))
+        return whole(vectors, *more).join(inside, "src", "left_semi")
+
+    monkeypatch.setattr(nndescent, "neighbour_lists", hot_only)
+    found = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect()}
+    assert found == {i: (int(linked[i].sum()), roots[i]) for i in range(len(rows))}
+
+
 def test_near_duplicates_equal_brute_force(spark, odd, none):
     random = np.random.default_rng(9)
     words = [f"w{i}" for i in range(500)]

@@ -4,9 +4,10 @@ Each vector keeps a list of its nearest others. The lists start from the leaves
 random hyperplanes and are refined in rounds: for every vector, all on its list and all that
 have it on theirs meet and are compared, and who is nearer than what a list has enters it. A
 list whose entries all reach the threshold is saturated; it is enlarged. Rounds end when few
-entries change. An audit then compares a bounded number of vectors with all others and starts
-further trees and rounds while too few of their links are in reach. Edges at the threshold
-are kept; vectors connected by them are compared exactly in double precision.
+entries change. An audit then compares a bounded number of vectors, some of each size of
+component and some of none, with all others and starts further trees and rounds while too few
+of their links are in reach; when these end, all vectors are compared in blocks. Edges at the
+threshold are kept; vectors connected by them are compared exactly in double precision.
 """
 
 from collections.abc import Iterator
@@ -32,7 +33,9 @@ LEAF = 64
 MAX_ROUNDS = 6
 # Rounds end when fewer than this share of the entries are new.
 STILL = 0.002
+# Audited vectors, about, of components of like size and of those without a component.
 AUDITED = 200
+AUDITED_ALONE = 1000
 RECALL = 0.97
 MAX_ATTEMPTS = 3
 # Members of a component that are compared in one go.
@@ -246,35 +249,76 @@ def _grown(vectors: DataFrame, trees: range, bits: dict[int, int]) -> DataFrame:
 
 
 def _audit(vectors: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Share of the links of AUDITED vectors, found by brute force, that stay in a component."""
-    chosen = vectors.orderBy(F.xxhash64("cls", F.lit(3)), "cls").limit(AUDITED).collect()
-    queries = [(row["cls"], row["room"], bytes(row["vector"])) for row in chosen]
+    """Least mean share of a linked vector's links, found by brute force, that stay in a component.
+
+    The mean is over all vectors that have links, and over those outside the components of at
+    least 2, 4, 8, ... vectors, so that large components do not hide what others have lost.
+    """
+    sizes = links.groupBy("root").agg(F.count("*").alias("size"))
+    # the number of binary digits of a component's size; 0 without a component
+    kinds = links.join(sizes, "root").select(
+        F.col("node").alias("cls"), "root", F.length(F.bin("size")).alias("kind")
+    )
+    kinds = stored(kinds, "kinds")
+    counts = {row["kind"]: row["count"] for row in kinds.groupBy("kind").count().collect()}
+    counts[0] = vectors.count() - sum(counts.values())
+    placed = vectors.join(kinds, "cls", "left").select(
+        "cls", "room", "vector", "root", F.coalesce("kind", F.lit(0)).alias("kind")
+    )
+    share = F.lit(1.0)
+    for kind, count in counts.items():
+        wanted = AUDITED if kind else AUDITED_ALONE
+        share = F.when(F.col("kind") == kind, min(1.0, wanted / max(1, count))).otherwise(share)
+    mark = F.pmod(F.xxhash64("cls", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    chosen = placed.filter(mark < share).collect()
+    rooms: dict[int, list[int]] = {}
+    for place, row in enumerate(chosen):
+        rooms.setdefault(row["room"], []).append(place)
+    queries = [(row["cls"], row["root"], bytes(row["vector"])) for row in chosen]
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rooms = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, own_rooms = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             values = batch.column(2).to_pylist()
-            sources, others, cosines = [], [], []
-            for room in {query[1] for query in queries} & set(rooms.tolist()):
-                rows = np.flatnonzero(rooms == room)
-                own = [query for query in queries if query[1] == room]
-                left = np.frombuffer(b"".join(q[2] for q in own), np.float32).reshape(len(own), -1)
-                right = np.frombuffer(b"".join(values[i] for i in rows), np.float32)
-                cos = left @ right.reshape(len(rows), -1).T
-                at, to = np.nonzero(cos >= threshold)
-                sources.append(np.array([q[0] for q in own])[at])
-                others.append(ids[rows][to])
-                cosines.append(cos[at, to])
-            yield _pair_batch(sources, others, cosines)
-
-    truth = vectors.mapInArrow(tasks, _PAIRS).filter("src <> dst")
-    roots = links.withColumnRenamed("node", "src").withColumnRenamed("root", "one")
-    others = links.withColumnRenamed("node", "dst").withColumnRenamed("root", "two")
-    known = truth.join(roots, "src", "left").join(others, "dst", "left")
-    total, found = known.agg(
-        F.count("*"), F.coalesce(F.sum((F.col("one") == F.col("two")).cast("int")), F.lit(0))
-    ).first()
-    return found / total if total else 1.0
+            alone = batch.column(3).is_null().to_numpy(zero_copy_only=False)
+            roots = batch.column(3).fill_null(0).to_numpy()
+            places, totals, founds = [], [], []
+            for room in rooms.keys() & set(own_rooms.tolist()):
+                rows = np.flatnonzero(own_rooms == room)
+                right = np.frombuffer(b"".join(values[i] for i in rows), np.float32).reshape(len(rows), -1)
+                for place in rooms[room]:
+                    cls, root, vector = queries[place]
+                    # a link by less than single precision errs is not counted
+                    linked = rows[right @ np.frombuffer(vector, np.float32) >= threshold + 1e-5]
+                    linked = linked[ids[linked] != cls]
+                    if not len(linked):
+                        continue
+                    places.append(place)
+                    totals.append(len(linked))
+                    founds.append(0 if root is None else int(((roots[linked] == root) & ~alone[linked]).sum()))
+            columns = [pa.array(column, pa.int64()) for column in (places, totals, founds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["place", "total", "found"])
+
+    counted = placed.select("cls", "room", "vector", "root").mapInArrow(
+        tasks, "place bigint, total bigint, found bigint"
+    )
+    audited = counted.groupBy("place").agg(F.sum("total"), F.sum("found")).collect()
+    sampled: dict[int, int] = {}
+    for row in chosen:
+        sampled[row["kind"]] = sampled.get(row["kind"], 0) + 1
+    recalls: dict[int, list[float]] = {kind: [] for kind in counts}
+    for place, total, found in audited:
+        recalls[chosen[place]["kind"]].append(found / total)
+    weight = kept = 0.0
+    least = 1.0
+    for kind in sorted(recalls):
+        each = counts[kind] / max(1, sampled.get(kind, 0))
+        weight += each * len(recalls[kind])
+        kept += each * sum(recalls[kind])
+        # vectors without a component have lost all links; they count among those with one
+        if weight and (kind or len(recalls) == 1):
+            least = min(least, kept / weight)
+    return least
 
 
 def _compared(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
@@ -304,9 +348,8 @@ def _compared(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[p
         )
 
 
-def _exact_links(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """(cls, n_links): links of each class with others of its component, compared in tiles."""
-    spark = classes.sparkSession
+def _dealt(roots: DataFrame) -> DataFrame:
+    """(tiles, side, cls) for each pair of tiles of the nodes of each root."""
     sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
     tiles = F.ceil(F.col("size") / TILE).cast("int")
     placed = roots.join(sizes, "root").select(
@@ -335,13 +378,18 @@ def _exact_links(classes: DataFrame, roots: DataFrame, threshold: float) -> Data
             ),
         )
     )
-    dealt = placed.select("cls", "root", F.explode(sides).alias("at")).select(
+    return placed.select("cls", "root", F.explode(sides).alias("at")).select(
         F.xxhash64("root", "at.a", "at.b").alias("tiles"), F.col("at.side").alias("side"), "cls"
     )
+
+
+def _exact_links(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(cls, n_links): links of each class with others of its component, compared in tiles."""
     return (
-        dealt.join(classes.select("cls", "copies", "embedding"), "cls")
+        _dealt(roots)
+        .join(classes.select("cls", "copies", "embedding"), "cls")
         .select("tiles", "side", "cls", "copies", "embedding")
-        .repartition(parallel(spark), "tiles")
+        .repartition(parallel(classes.sparkSession), "tiles")
         .sortWithinPartitions("tiles")
         .mapInArrow(partial(_compared, threshold=threshold), "cls bigint, n_links bigint")
         .groupBy("cls")
@@ -349,6 +397,45 @@ def _exact_links(classes: DataFrame, roots: DataFrame, threshold: float) -> Data
     )
 
 
+def _apart(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of roots that a link joins, from rows (tiles, side, root, embedding).
+
+    Rows are sorted by ``tiles``; side 2 is both sides.
+    """
+    for table in whole_groups(batches, "tiles"):
+        places = table.column("tiles").to_numpy()
+        cuts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+        found = [np.zeros((0, 2), np.int64)]
+        for start, end in zip(cuts, [*cuts[1:], len(places)]):
+            part = table.slice(start, end - start)
+            side, roots = part.column("side").to_numpy(), part.column("root").to_numpy()
+            values = np.array(part.column("embedding").to_pylist(), np.float64)
+            values = _unit(values / np.abs(values).max(axis=1, keepdims=True))
+            left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+            linked = values[left] @ values[right].T >= threshold
+            linked &= roots[left][:, None] < roots[right][None, :]
+            at, to = np.nonzero(linked)
+            found.append(np.unique(np.c_[roots[left][at], roots[right][to]], axis=0))
+        pairs = np.concatenate(found)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+
+def _joined(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Components (node, root) after all vectors of each room were compared in tiles."""
+    named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select(
+        "cls", F.coalesce("root", "cls").alias("root"), "embedding"
+    )
+    met = (
+        _dealt(classes.select(F.col("cls").alias("node"), F.col("room").alias("root")))
+        .join(named, "cls")
+        .select("tiles", "side", "root", "embedding")
+        .repartition(parallel(classes.sparkSession), "tiles")
+        .sortWithinPartitions("tiles")
+        .mapInArrow(partial(_apart, threshold=threshold), "a bigint, b bigint")
+    )
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(met))
+
+
 def neighbour_lists(vectors: DataFrame, threshold: float, trees: range, lists: DataFrame | None) -> DataFrame:
     """Lists (src, dst, cos, fresh) of (cls, room, vector) by trees and rounds.
 
@@ -404,6 +491,8 @@ def near_duplicates(
         roots = components(exact.select(F.col("src").alias("a"), F.col("dst").alias("b")))
         if _audit(vectors, roots, threshold) >= RECALL:
             break
+    else:
+        roots = _joined(classes, roots, threshold)
     links = _exact_links(classes, roots, threshold)
     grouped = (
         classes.select("cls", "vec_id", "copies")
