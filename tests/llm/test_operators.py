@@ -228,6 +228,26 @@ def test_language_on_held_out_documents(spark, odd, none):
     assert [tuple(r) for r in unlearned.collect()] == [("und", 0.0, False)]
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_unlearned_languages_and_noise_are_rejected_at_any_size(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    docs = docs.filter("length(text) > 0 and lang is not null").select("doc_id", "text", "lang")
+    held_out = queries.crc_rest("doc_id", 4) == 2
+    model = language.fit(docs.filter(~held_out))
+    random = np.random.default_rng(15)
+    planted = ["".join(random.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400)) for _ in range(20)]
+    planted += [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki.",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek ésszel bírnak.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    ]
+    strange = spark.createDataFrame(list(enumerate(planted)), "doc_id long, text string")
+    assert language.identify(strange, model).filter("accepted").isEmpty()
+    clean = language.identify(docs.filter(held_out), model)
+    assert clean.filter("accepted and lang_pred = lang").count() > 0.97 * clean.count()
+
+
 def test_grams_do_not_depend_on_spans(monkeypatch):
     text = "Ein Wort, noch eins; und drei.  " * 40
     whole = language.bag(text)

@@ -2,13 +2,14 @@
 
 A text is the bag of the character 1- to 4-grams inside its words, word ends included, each
 hashed to a row of an embedding table. The mean of the rows goes through a linear softmax.
-Both are trained by stochastic gradient descent in numpy on a bounded sample. A second part
-of the sample, which gives no gradients, fits the temperature and the score below which a
-prediction is rejected.
+Both are trained by stochastic gradient descent in numpy on a bounded sample. Models of four
+fifths of the sample each score the fifth left out; these scores fit the temperature and the
+score below which a prediction is rejected.
 """
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +30,15 @@ MAX_SAMPLE = 6_000
 MAX_SAMPLE_CHARS = 20_000
 EPOCHS = 8
 RATE = 0.5
-# One document in this many calibrates.
-CALIBRATION = 5
-# A prediction is rejected when its score is below this share of the lowest score that a
-# correctly labelled calibration document has.
-REJECTION_MARGIN = 0.7
-# With fewer such documents the lowest score says little, and only ``und`` is rejected.
-MIN_CALIBRATED = 300
+# Small samples are gone through more often, until so many steps are made.
+LEAST_STEPS = 16_000
+# The sample is parted by so many; each part is scored by a model of the others.
+FOLDS = 5
+# A prediction is rejected when its score is below that of all but this share of the correctly
+# labelled documents, when others scored them.
+REJECTED = 0.002
+# A sample of fewer documents says nothing of scores, and only ``und`` is rejected.
+LEAST_CALIBRATED = 20
 # Code points of a text handled at once.
 SPAN = 1 << 18
 
@@ -95,7 +98,10 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """``table`` holds for each n-gram row what it adds to each language's logit."""
+    """``table`` holds for each n-gram row what it adds to each language's logit.
+
+    Rows that no document had are zero.
+    """
 
     languages: list[str]
     table: np.ndarray
@@ -103,29 +109,37 @@ class Model:
     temperature: float
     threshold: float
 
-    def logits(self, text: str) -> np.ndarray | None:
-        total, count = np.zeros(len(self.languages)), 0
+    def logits(self, text: str) -> tuple[np.ndarray, float]:
+        """The logits of a text, and the share of its n-grams that were learned."""
+        total, count, learned = np.zeros(len(self.languages)), 0, 0
         for rows in grams(text):
             used = np.bincount(rows, minlength=ROWS) if len(rows) > ROWS else None
             if used is None:
                 total += self.table[rows].sum(axis=0)
+                learned += int(self.learned[rows].sum())
             else:
                 total += used @ self.table
+                learned += int(used[self.learned].sum())
             count += len(rows)
-        return total / count + self.bias if count else None
+        return total / max(1, count) + self.bias, learned / max(1, count)
+
+    @cached_property
+    def learned(self) -> np.ndarray:
+        return self.table.any(axis=1)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, calibrated score, and whether the prediction is accepted.
 
+        The score is the chance of the language, times the share of n-grams that were learned.
         A null text, one without a letter, and any text when nothing was learned are
         ``und`` with score 0 and not accepted.
         """
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, False
-        logits = self.logits(text)
-        chances = softmax((self.bias if logits is None else logits) / self.temperature)
+        logits, learned = self.logits(text)
+        chances = softmax(logits / self.temperature)
         best = int(chances.argmax())
-        score = float(chances[best])
+        score = float(chances[best]) * learned
         return self.languages[best], score, score >= self.threshold
 
 
@@ -134,29 +148,25 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return powers / powers.sum(axis=-1, keepdims=True)
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int = 7) -> Model:
-    """Fit a model on bags of n-grams; every CALIBRATION-th one only calibrates it."""
-    languages = sorted(set(labels))
-    if not languages:
-        return Model([], np.zeros((ROWS, 0)), np.zeros(0), 1.0, 0.0)
-    index = {language: place for place, language in enumerate(languages)}
-    target = np.array([index[label] for label in labels])
+def _fitted(
+    bags: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, places: np.ndarray, width: int, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Table and bias for ``width`` languages, learned from the bags at ``places``."""
     random = np.random.default_rng(seed)
-    order = random.permutation(len(bags))
-    few = len(bags) < 4 * CALIBRATION
-    fitted = order if few else order[len(bags) // CALIBRATION :]
-    checked = order if few else order[: len(bags) // CALIBRATION]
     table = random.uniform(-1 / WIDTH, 1 / WIDTH, (ROWS, WIDTH)).astype(np.float32)
-    weights = np.zeros((WIDTH, len(languages)), np.float32)
-    bias = np.zeros(len(languages), np.float32)
-    steps, step = EPOCHS * len(fitted), 0
-    for _ in range(EPOCHS):
-        for place in random.permutation(fitted):
+    weights = np.zeros((WIDTH, width), np.float32)
+    bias = np.zeros(width, np.float32)
+    learned = np.zeros(ROWS, bool)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // len(places)))
+    steps, step = epochs * len(places), 0
+    for _ in range(epochs):
+        for place in random.permutation(places):
             rows, shares = bags[place]
             rate = RATE * (1 - step / steps)
             step += 1
             if not len(rows):
                 continue
+            learned[rows] = True
             mean = shares @ table[rows]
             error = -softmax(mean @ weights + bias)
             error[target[place]] += 1
@@ -165,21 +175,41 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: in
             weights += rate * np.outer(mean, error)
             bias += 0.1 * rate * error
             table[rows] += (rate * 20) * shares[:, None] * inner
-    flat = table @ weights
-    logits = np.array(
-        [bags[place][1] @ flat[bags[place][0]] + bias if len(bags[place][0]) else bias for place in checked]
-    )
-    truth = target[checked]
+    return np.where(learned[:, None], table @ weights, 0), bias
+
+
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: int = 7) -> Model:
+    """Fit a model on bags of n-grams, calibrated by models that leave out a part each."""
+    languages = sorted(set(labels))
+    if not languages:
+        return Model([], np.zeros((ROWS, 0)), np.zeros(0), 1.0, 0.0)
+    index = {language: place for place, language in enumerate(languages)}
+    target = np.array([index[label] for label in labels])
+    every = np.arange(len(bags))
+    flat, bias = _fitted(bags, target, every, len(languages), seed)
+    if len(bags) < LEAST_CALIBRATED:
+        return Model(languages, flat, bias, 1.0, 0.0)
+    order = np.random.default_rng(seed).permutation(len(bags))
+    logits, learned = np.zeros((len(bags), len(languages))), np.zeros(len(bags))
+    for fold in range(FOLDS):
+        own = order[fold::FOLDS]
+        part, part_bias = _fitted(bags, target, np.setdiff1d(every, own), len(languages), seed)
+        known = part.any(axis=1)
+        for place in own:
+            rows, shares = bags[place]
+            logits[place] = shares @ part[rows] + part_bias
+            learned[place] = shares @ known[rows]
 
     def loss(temperature: float) -> float:
-        chances = softmax(logits / temperature)[np.arange(len(truth)), truth]
+        chances = softmax(logits / temperature)[every, target]
         return float(-np.log(np.maximum(chances, 1e-12)).mean())
 
     temperature = min(np.geomspace(0.05, 20, 61), key=loss)
     chances = softmax(logits / temperature)
-    right = chances.argmax(axis=1) == truth
-    lowest = chances[right].max(axis=1).min() if right.sum() >= MIN_CALIBRATED else 0.0
-    return Model(languages, flat, bias, float(temperature), float(REJECTION_MARGIN * lowest))
+    right = chances.argmax(axis=1) == target
+    scores = chances.max(axis=1) * learned
+    threshold = np.quantile(scores[right], REJECTED, method="lower") if right.any() else 0.0
+    return Model(languages, flat, bias, float(temperature), float(threshold))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
