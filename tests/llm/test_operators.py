@@ -202,6 +202,22 @@ def test_fingerprints_equal_brute_force(spark, odd, none):
     assert fingerprints.fingerprints(odd).count() == len(ODD)
 
 
+def test_fingerprints_of_repetitive_texts_cover_the_whole_text():
+    random = np.random.default_rng(16)
+
+    def noise(n):
+        return "".join(random.choice(list("abcdefghij klmnop"), n))
+
+    for seed in range(20):
+        text = (noise(1 if seed == 0 else 2000) * 1_000_000)[:1_000_000]
+        for following in (noise(1_000_000), (noise(2000) * 500)):
+            changed = fingerprints.edited(text, following)
+            prints = [fingerprints.fingerprint(t.encode()) for t in (text, changed)]
+            assert 0.5 < fingerprints.likeness(*prints) < 0.85
+            for part in prints[0].split(":")[1:]:
+                assert 16 <= len(part) // 2 <= 129
+
+
 def test_hot_key_is_split_for_fingerprints(spark):
     docs = [(7, f"text number {i} of a key that many rows share") for i in range(400)]
     docs += [(i, f"other {i}") for i in range(100, 300)]

@@ -19,11 +19,10 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import slices, with_field
 
 WINDOW = 7
-# A text has some 32 to 64 chunks; what follows chunk MAX_CHUNKS - 1 is one last chunk.
+# A text has some 32 to 64 chunks, and never more than 128.
 CHUNKS = 64
-# A text that repeats itself may have very few; its block size is halved until it has MIN_CHUNKS.
-MAX_CHUNKS = 160
-MIN_CHUNKS = 16
+# A chunk longer than so many blocks, as of text that repeats itself, is cut by finer boundaries.
+LONGEST = 4
 # Bytes of text of one task, about.
 TASK_BYTES = 24 << 20
 
@@ -51,14 +50,40 @@ def block_step(length: int) -> int:
     return max(0, (max(1, length) - 1) // CHUNKS).bit_length()
 
 
-def _signature(data: memoryview, ends: np.ndarray) -> str:
-    if len(ends) >= MAX_CHUNKS:
-        ends = ends[: MAX_CHUNKS - 1]
-    cuts = [0, *(ends + 1).tolist()]
-    if cuts[-1] < len(data):
-        cuts.append(len(data))
+def _thinned(cuts: np.ndarray, start: int, end: int, least: int) -> list[int]:
+    """The cuts between start and end that lie ``least`` bytes or more after the one before."""
+    found: list[int] = []
+    while True:
+        place = int(np.searchsorted(cuts, start + least))
+        if place == len(cuts) or cuts[place] >= end:
+            return found
+        start = int(cuts[place])
+        found.append(start)
+
+
+def _cuts(rolled: np.ndarray, step: int) -> list[int]:
+    """Where chunks end, before the end of the text, at a block size.
+
+    Chunks are half a block at least. What is chosen follows from the text near by, so an
+    edit elsewhere does not change it.
+    """
+    block, length = 1 << step, len(rolled)
+    cuts = _thinned(np.flatnonzero(rolled < (1 << (32 - step))) + 1, 0, length, max(1, block >> 1))
+    for finer in range(step - 1, -1, -1):
+        gaps = [(a, b) for a, b in zip([0, *cuts], [*cuts, length]) if b - a > LONGEST * block]
+        if not gaps:
+            break
+        for start, end in gaps:
+            found = np.flatnonzero(rolled[start:end] < (1 << (32 - finer))) + start + 1
+            cuts += _thinned(found, start, end, block)
+        cuts.sort()
+    return cuts
+
+
+def _signature(data: memoryview, rolled: np.ndarray, step: int) -> str:
+    cuts = _cuts(rolled, step)
     digest = xxhash.xxh32_intdigest
-    return "".join([_SYMBOLS[digest(data[a:b]) >> 20] for a, b in zip(cuts, cuts[1:])])
+    return "".join([_SYMBOLS[digest(data[a:b]) >> 20] for a, b in zip([0, *cuts], [*cuts, len(data)])])
 
 
 def fingerprint(data: bytes) -> str:
@@ -68,12 +93,7 @@ def fingerprint(data: bytes) -> str:
         return "0::"
     view = memoryview(data)
     rolled = _rolling(np.frombuffer(data, np.uint8))
-    ends = np.flatnonzero(rolled < (1 << (32 - step)))
-    while step and len(ends) < MIN_CHUNKS:
-        step -= 1
-        ends = np.flatnonzero(rolled < (1 << (32 - step)))
-    wide = ends[rolled[ends] < (1 << (31 - step))]
-    return f"{step}:{_signature(view, ends)}:{_signature(view, wide)}"
+    return f"{step}:{_signature(view, rolled, step)}:{_signature(view, rolled, step + 1)}"
 
 
 def _common(one: str, other: str) -> int:
