@@ -264,6 +264,17 @@ def test_unlearned_languages_and_noise_are_rejected_at_any_size(spark, size):
     assert clean.filter("accepted and lang_pred = lang").count() > 0.97 * clean.count()
 
 
+def test_rare_languages_keep_their_share_of_the_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(language, "train", lambda bags, labels: taken.extend(labels))
+    monkeypatch.setattr(language, "DOCS_PER_LANGUAGE", 100)
+    monkeypatch.setattr(language, "MAX_SAMPLE", 300)
+    counts = {"aa": 3000, "bb": 3000, "cc": 3000, "dd": 100}
+    docs = [(f"{lang} word number {i}", lang) for lang, n in counts.items() for i in range(n)]
+    language.fit(spark.createDataFrame(docs, "text string, lang string"))
+    assert len(taken) == 300 and min(Counter(taken)[lang] for lang in counts) > 50
+
+
 def test_grams_do_not_depend_on_spans(monkeypatch):
     text = "Ein Wort, noch eins; und drei.  " * 40
     whole = language.bag(text)

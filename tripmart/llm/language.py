@@ -215,8 +215,8 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: in
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Train on documents that have a text and a language.
 
-    The sample takes DOCS_PER_LANGUAGE of each language by a hash of the text, MAX_SAMPLE
-    in all, from whole documents of at most MAX_SAMPLE_CHARS; equal texts are sampled
+    The sample takes DOCS_PER_LANGUAGE of each language by a hash of the text, or an equal
+    share of that where they are more than MAX_SAMPLE in all, from whole documents of at most MAX_SAMPLE_CHARS; equal texts are sampled
     together. Their bags are counted by tasks; the driver gets at most MAX_SAMPLE of them.
     Documents without a letter are not learned from.
     """
@@ -231,7 +231,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     )
     mark = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
     sample = known.join(F.broadcast(top.drop("n")), "lang").withColumn("mark", mark)
-    sample = sample.filter("mark < share").orderBy("mark", "lang", "text").limit(MAX_SAMPLE)
+    # by the rank inside a language, so that past MAX_SAMPLE all languages shrink alike
+    sample = sample.filter("mark < share").withColumn("mark", F.col("mark") / F.col("share"))
+    sample = sample.orderBy("mark", "lang", "text").limit(MAX_SAMPLE)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
