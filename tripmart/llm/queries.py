@@ -16,6 +16,7 @@ from tripmart.llm import (
     nndescent,
     packing,
     spans,
+    suffixes,
     warc,
 )
 from tripmart.llm.common import crc_rest
@@ -113,6 +114,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), threshold_percent=85)
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.drop_repeated(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -128,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spans": op8_spans,
     "op9_nndescent": op9_nndescent,
     "op10_minhash": op10_minhash,
+    "op12_suffixes": op12_suffixes,
     "pipeline": pipeline,
 }
 
