@@ -15,6 +15,8 @@ from tripmart.llm import (
     minhash,
     nndescent,
     packing,
+    prefixes,
+    ranked,
     spans,
     suffixes,
     warc,
@@ -114,6 +116,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), threshold_percent=85)
 
 
+def op11_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.drop_repeated(docs).select(
@@ -121,6 +127,10 @@ def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
 
@@ -136,7 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spans": op8_spans,
     "op9_nndescent": op9_nndescent,
     "op10_minhash": op10_minhash,
+    "op11_prefixes": op11_prefixes,
     "op12_suffixes": op12_suffixes,
+    "op13_ranked": op13_ranked,
     "pipeline": pipeline,
 }
 
@@ -223,9 +235,78 @@ select node as doc_id, coalesce((select n from sizes where sizes.doc_id = node),
        min(other) as component_id, node = min(other) as kept
 from reach group by node"""
 
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split({0}, ''), lambda x: ascii(x)::bigint)),
+    lambda crc, byte: list_reduce(
+      list_prepend(xor(crc, byte), range(8)),
+      lambda r, i: case when r % 2 = 1 then xor(r // 2, 3988292384) else r // 2 end)))"""
+_PREFIXES_SQL = f"""
+with turns as (
+  select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+named as (
+  select c, dense_rank() over (order by role, text) as name, length(text) as chars,
+         row_number() over (partition by c order by turn nulls first,
+           sha256(concat(length(role), ':', role, text))) as pos
+  from turns),
+seqs as (select c, list(name order by pos) as s, list(chars order by pos) as l from named group by c),
+family as (select *, c - c % 100 as b, {_CRC32.format("cast(c as varchar)")} % 6 as h from seqs),
+rebuilt as (
+  select own.c, list_concat(coalesce(base.s[1:h], []), own.s[h + 1:]) as s,
+         list_concat(coalesce(base.l[1:h], []), own.l[h + 1:]) as l
+  from family own left join seqs base on base.c = own.b),
+members as (
+  select c, d, s[1:d] as p, case when d > 0 then l[d] else 0 end as chars, d = len(s) as ended
+  from (select *, unnest(range(0, len(s) + 1)) as d from rebuilt)),
+nodes as (
+  select p, any_value(d) as d, min(c) as conv_id, count(*) as n_convs, any_value(chars) as chars,
+         coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where ended), '') as ends
+  from members group by p),
+kids as (select p[1:d - 1] as p, count(*) as n from nodes where d > 0 group by 1),
+below as (
+  select top, sum((n_convs - 1) * chars) as saved, count(*) filter (where kids.n is null) as leaves
+  from (select nodes.*, unnest(list_transform(range(0, d + 1), lambda i: p[1:i])) as top from nodes) u
+  left join kids on kids.p = u.p group by top)
+select nodes.conv_id, cast(nodes.d as bigint) as depth, above.conv_id as parent_conv_id, nodes.n_convs,
+       coalesce(kids.n, 0) as n_children, leaves as n_leaves, cast(saved as bigint) as saved_tokens,
+       sha256(nodes.ends) as ends_sha256
+from nodes join below on below.top = nodes.p left join kids on kids.p = nodes.p
+left join nodes above on nodes.d > 0 and above.p = nodes.p[1:nodes.d - 1]"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RANKED_SQL = f"""
+with held as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') as w from documents),
+docs as (select doc_id, r, cast(len(w) as bigint) as n, w from held where len(w) > 0),
+total as (select count(*) as docs, cast(sum(n) as bigint) as words from docs),
+wanted as (
+  select distinct item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) as t
+  from benchmark),
+counted as (
+  select r, t, count(*) as tf from (select r, unnest(w) as t from docs)
+  where t in (select t from wanted) group by r, t),
+weights as (
+  select t, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / cast(2 * count(*) + 1 as double)))
+    as bigint) as weight
+  from counted, total group by t),
+sized as (select r, doc_id, 50 + (50 * n * docs) // words as m from docs, total),
+scored as (
+  select item_id, r, any_value(doc_id) as doc_id,
+         cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+  from wanted join counted using (t) join weights using (t) join sized using (r)
+  group by item_id, r),
+placed as (
+  select item_id, doc_id, score,
+         cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from placed where rank <= 50"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": _LINES_SQL,
     "op7_warc": _WARC_SQL,
     "op9_nndescent": _NEAREST_SQL,
     "op10_minhash": _MINHASH_SQL,
+    "op11_prefixes": _PREFIXES_SQL,
+    "op13_ranked": _RANKED_SQL,
 }
