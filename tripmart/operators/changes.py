@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -66,3 +66,37 @@ def add_versions(
         "is_current": F.lit(True),
     }
     return closed.unionByName(opened.withColumns(validity))
+
+
+def with_intervals(history: DataFrame, key: str, since: str, load: str) -> DataFrame:
+    """Type II intervals of an append-only history: ``valid_from``, ``valid_to``, ``is_current``.
+
+    A version holds from its day until the next of its key. Of versions that begin on one day
+    the one of the last load counts; the others never held and are left out. ``since`` becomes
+    ``valid_from``; the first version of a key has ``is_first``.
+    """
+    order = Window.partitionBy(key).orderBy(since, load)
+    found = history.withColumns(
+        {"valid_to": F.lead(since).over(order), "is_first": F.min(since).over(Window.partitionBy(key))}
+    )
+    found = found.filter(F.col("valid_to").isNull() | (F.col("valid_to") > F.col(since)))
+    return (
+        found.withColumn("is_first", F.col("is_first") == F.col(since))
+        .withColumn("is_current", F.col("valid_to").isNull())
+        .withColumnRenamed(since, "valid_from")
+        .drop(load)
+    )
+
+
+def in_effect(day: Column) -> Column:
+    """Whether a version of ``with_intervals`` holds on a day; before all versions the first does."""
+    begun = F.col("is_first") | (F.col("valid_from") <= day)
+    return begun & (F.col("valid_to").isNull() | (F.col("valid_to") > day))
+
+
+def join_as_of(rows: DataFrame, versions: DataFrame, key: str, day: str) -> DataFrame:
+    """Rows with the version of their key that held on their day; rows of unknown keys are left out.
+
+    An equi join by key with a range of days, so a row meets the few versions of its own key.
+    """
+    return rows.join(versions, key).filter(in_effect(F.col(day))).drop("is_first")

@@ -25,15 +25,16 @@ def write_parquet(
 
 
 def write_bucketed(
-    df: DataFrame, table: str, path: str, key: str, buckets: int, mode: str = "append"
+    df: DataFrame, table: str, path: str, key: str | Sequence[str], buckets: int, mode: str = "append"
 ) -> None:
     """Hash rows into sorted buckets of a catalog table, one file per bucket and write."""
+    keys = [key] if isinstance(key, str) else list(key)
     (
-        df.repartition(buckets, key)
+        df.repartition(buckets, *keys)
         .write.mode(mode)
         .format("parquet")
-        .bucketBy(buckets, key)
-        .sortBy(key)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", path)
         .saveAsTable(table)
     )

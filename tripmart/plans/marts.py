@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import weekday_name
 from tripmart.functions.sums import endless_sum, exact_sum, finite
+from tripmart.operators.changes import join_as_of
 from tripmart.operators.filters import paid
 from tripmart.operators.sinks import publish, read_published
-from tripmart.plans.warehouse import Warehouse
-
+from tripmart.plans.warehouse import DROPOFF, PICKUP, Table, Warehouse
 
 
 def trip_count() -> Column:
@@ -137,6 +137,33 @@ def trips_per_do_location(warehouse: Warehouse) -> DataFrame:
     return _trips_per_location(warehouse, "do_location_id", warehouse.dim_dropoff_location(), "dropoff")
 
 
+def _trips_per_version(warehouse: Warehouse, fact_key: str, table: Table) -> DataFrame:
+    """Trips per year and version of their zone, as it was on the day of the pickup.
+
+    Trips are counted by zone and day first; the counts meet the versions, not the trips.
+    """
+    key = table.schema.names[0]
+    counted = (
+        warehouse.fact_with_calendar()
+        .groupBy("pick_date", F.col(fact_key).alias(key))
+        .agg(trip_count())
+    )
+    attributes = [F.col(name) for name in table.schema.names[1:]]
+    return (
+        join_as_of(counted, warehouse.versions(table), key, "pick_date")
+        .groupBy(F.year("pick_date").alias("year"), F.col(key).alias("LocationID"), *attributes, "valid_from")
+        .agg(F.sum("total_trips").alias("total_trips"))
+    )
+
+
+def trips_per_pickup_version(warehouse: Warehouse) -> DataFrame:
+    return _trips_per_version(warehouse, "pu_location_id", PICKUP)
+
+
+def trips_per_dropoff_version(warehouse: Warehouse) -> DataFrame:
+    return _trips_per_version(warehouse, "do_location_id", DROPOFF)
+
+
 def trips_per_day(warehouse: Warehouse) -> DataFrame:
     """Trips per year and pickup weekday; ``day_order`` 1 is Sunday."""
     per_day = warehouse.fact_with_calendar().groupBy("pick_year", "pick_weekday_id").agg(trip_count())

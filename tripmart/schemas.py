@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
     "int": T.IntegerType(),
     "double": T.DoubleType(),
     "string": T.StringType(),

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -40,6 +41,44 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file with its whole content; raise FileExistsError if there is one of that name.
+
+    The text is written beside it first and renamed without overwriting, so readers see the
+    file complete or not at all, and of two writers one is refused.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    final = hadoop.Path(path)
+    file_system = final.getFileSystem(conf)
+    final = file_system.makeQualified(final)
+    beside = hadoop.Path(final.getParent(), f".{final.getName()}.{uuid.uuid4().hex}")
+    stream = file_system.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(file_system.getUri(), conf).rename(beside, final, options)
+    except Py4JJavaError as error:
+        file_system.delete(beside, False)
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        raise FileExistsError(path) from None
+
+
+def folders_below(spark: SparkSession, path: str, levels: int) -> list[tuple[str, float]]:
+    """Folders so many levels below a path, with the time in seconds each was last changed."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path + "/*" * levels)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [
+        (status.getPath().toString(), status.getModificationTime() / 1000)
+        for status in found or ()
+        if status.isDirectory()
+    ]
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a stored table, or an empty frame of the same schema before its first write."""
     try:
