@@ -12,11 +12,10 @@ import json
 import uuid
 from dataclasses import asdict, dataclass, fields
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from tripmart import schemas
-from tripmart.storage import create_once, folders_below, remove_folder
+from tripmart.storage import create_once, folders_below, read_or_empty, remove_folder
 
 # A reset forgets all loads before it. Months are counted from year 0 and say where the load's
 # pairs lie; a load without pairs has none.
@@ -53,13 +52,7 @@ def new_attempt() -> str:
 
 def read_commits(spark: SparkSession, root: str) -> list[Commit]:
     """All commits of a warehouse in their order; one per finished attempt."""
-    try:
-        stored = spark.read.schema(COMMIT).json(f"{root}/loads")
-        rows = stored.collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+    rows = read_or_empty(spark, f"{root}/loads", COMMIT, "json").collect()
     names = [field.name for field in fields(Commit)]
     return sorted((Commit(*(row[name] for name in names)) for row in rows), key=lambda c: c.version)
 

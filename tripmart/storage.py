@@ -79,10 +79,12 @@ def folders_below(spark: SparkSession, path: str, levels: int) -> list[tuple[str
     ]
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
+) -> DataFrame:
     """Read a stored table, or an empty frame of the same schema before its first write."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
