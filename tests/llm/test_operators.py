@@ -100,7 +100,7 @@ def test_batches_hold_every_row_within_the_budget(spark):
         full[members[0].bucket_length] += len(members) < max(1, 4096 // max(1, members[0].bucket_length))
     assert max(full.values()) <= 1
     assert packing.pack(df.limit(0)).count() == 0
-    assert [packing.length_bin(x) for x in (0, 1, 256, 257, 511, 513)] == [0, 1, 256, 258, 512, 516]
+    assert all(r.bucket_length in {n or 0 for _, n in rows} for r in found)  # the longest row's length
 
 
 def _cleaned(docs, min_docs=5):
@@ -265,13 +265,12 @@ def test_unlearned_languages_and_noise_are_rejected_at_any_size(spark, size):
 
 
 def test_rare_languages_keep_their_share_of_the_sample(spark, monkeypatch):
-    taken = []
-    monkeypatch.setattr(language, "train", lambda bags, labels: taken.extend(labels))
     monkeypatch.setattr(language, "DOCS_PER_LANGUAGE", 100)
     monkeypatch.setattr(language, "MAX_SAMPLE", 300)
     counts = {"aa": 3000, "bb": 3000, "cc": 3000, "dd": 100}
     docs = [(f"{lang} word number {i}", lang) for lang, n in counts.items() for i in range(n)]
-    language.fit(spark.createDataFrame(docs, "text string, lang string"))
+    sample = language.sample(spark.createDataFrame(docs, "text string, lang string"))
+    taken = [row["lang"] for row in sample.collect()]
     assert len(taken) == 300 and min(Counter(taken)[lang] for lang in counts) > 50
 
 

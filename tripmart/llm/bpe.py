@@ -9,6 +9,7 @@ the number of pairs ever queued, so a piece of a million bytes is no problem.
 """
 
 import base64
+import hashlib
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -34,20 +35,40 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def vocabulary_digest(ranks: dict[bytes, int]) -> str:
+    """Names a vocabulary by all its tokens and ranks, for what workers keep of it."""
+    found = hashlib.sha256()
+    for token, rank in sorted(ranks.items()):
+        found.update(b"%d %d " % (rank, len(token)) + token)
+    return found.hexdigest()
+
+
 class RankQueue:
     """The buckets and the bitmap; both are empty between two pieces.
 
     ``words`` has a bit for each rank that has positions, and a bit of a top word says that
-    a word has bits. ``pairs`` has the ranks of two single bytes.
+    a word below has bits. ``pairs`` has the rank that two tokens next to each other merge to, ``first``
+    the same for two single bytes.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.buckets: dict[int, list[int]] = {}
-        self.words = [0] * ((max(ranks.values()) >> 8) + 1)
-        self.pairs = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+        self.size = max(ranks.values()) + 1
+        self.words = [0] * ((self.size - 1 >> 8) + 1)
+        self.bytes = [ranks[bytes((a,))] for a in range(256)]
+        self.first = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
+        self.pairs: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.pairs[left * self.size + right] = rank
 
 
 _BITS = [1 << place for place in range(4096)]
+# Neighbours in a list of tokens nothing was merged in; longer pieces make their own.
+_NEXT = list(range(1, 257))
+_LAST = list(range(-1, 255))
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
@@ -60,11 +81,14 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
     if known is not None:
         return [known]
     size = len(piece)
-    rank_of, buckets, words, bits = ranks.get, queue.buckets, queue.words, _BITS
-    pairs = queue.pairs
-    following = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    pair = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    rank_of, base, buckets, words, bits = queue.pairs.get, queue.size, queue.buckets, queue.words, _BITS
+    first = queue.first
+    if size <= 256:
+        following, before = _NEXT[:size], _LAST[:size]
+    else:
+        following, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    own = [queue.bytes[byte] for byte in piece]
+    pair = [first[a << 8 | b] for a, b in zip(piece, piece[1:])]
     pair.append(None)
     top = 0
     for at, rank in enumerate(pair):
@@ -93,11 +117,11 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             continue
         gone = following[at]
         end = following[at] = following[gone]
+        own[at] = rank
         pair[gone] = None
         if end < size:
             before[end] = at
-            found = rank_of(piece[at : following[end]])
-            pair[at] = found
+            found = pair[at] = rank_of(rank * base + own[end])
             if found is not None:
                 if found in buckets:
                     heappush(buckets[found], at)
@@ -110,8 +134,7 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
             pair[at] = None
         left = before[at]
         if left >= 0:
-            found = rank_of(piece[left:end])
-            pair[left] = found
+            found = pair[left] = rank_of(own[left] * base + rank)
             if found is not None:
                 if found in buckets:
                     heappush(buckets[found], left)
@@ -122,9 +145,8 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
                     top |= bits[word]
     ids, at = [], 0
     while at < size:
-        end = following[at]
-        ids.append(ranks[piece[at:end]])
-        at = end
+        ids.append(own[at])
+        at = following[at]
     return ids
 
 
@@ -169,7 +191,7 @@ def encode(
     256 single bytes; its size is fixed, so it is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    name = f"pieces {hash((len(ranks), sum(ranks.values())))} {pattern}"
+    name = f"pieces {vocabulary_digest(ranks)} {pattern}"
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
@@ -203,7 +225,7 @@ def decode(
     An id outside the vocabulary raises.
     """
     shared = tokens.sparkSession.sparkContext.broadcast(ranks)
-    name = f"tokens {hash((len(ranks), sum(ranks.values())))}"
+    name = f"tokens {vocabulary_digest(ranks)}"
     place = tokens.columns.index(ids)
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

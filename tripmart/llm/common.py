@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.storage import new_folder
+from tripmart.storage import new_folder, remove_folder
 
 # Fixed value: what separates words and is stripped from lines, [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
@@ -27,6 +27,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_stored(*frames: DataFrame) -> None:
+    """Delete the files of frames that ``stored`` gave and nothing reads any more."""
+    for frame in frames:
+        for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+            remove_folder(frame.sparkSession, folder)
+
+
 def process_cache(name: str, build: Callable[[], Any]) -> Any:
     """A value kept by a Python worker from one task to the next."""
     module = sys.modules.setdefault("tripmart_llm_process_cache", ModuleType("cache"))

@@ -212,13 +212,12 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[str], seed: in
     return Model(languages, flat, bias, float(temperature), float(threshold))
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Train on documents that have a text and a language.
+def sample(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, text) of the documents a model learns from.
 
-    The sample takes DOCS_PER_LANGUAGE of each language by a hash of the text, or an equal
-    share of that where they are more than MAX_SAMPLE in all, from whole documents of at most MAX_SAMPLE_CHARS; equal texts are sampled
-    together. Their bags are counted by tasks; the driver gets at most MAX_SAMPLE of them.
-    Documents without a letter are not learned from.
+    It takes DOCS_PER_LANGUAGE of each language by a hash of the text, or an equal share of that
+    where they are more than MAX_SAMPLE in all, from whole documents of at most
+    MAX_SAMPLE_CHARS; equal texts are sampled together.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -230,36 +229,49 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         "share", F.least(F.lit(1.0), F.lit(float(DOCS_PER_LANGUAGE)) / F.col("n"))
     )
     mark = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(F.broadcast(top.drop("n")), "lang").withColumn("mark", mark)
+    found = known.join(F.broadcast(top.drop("n")), "lang").withColumn("mark", mark)
     # by the rank inside a language, so that past MAX_SAMPLE all languages shrink alike
-    sample = sample.filter("mark < share").withColumn("mark", F.col("mark") / F.col("share"))
-    sample = sample.orderBy("mark", "lang", "text").limit(MAX_SAMPLE)
+    found = found.filter("mark < share").withColumn("mark", F.col("mark") / F.col("share"))
+    return found.orderBy("mark", "lang", "text").limit(MAX_SAMPLE).select("lang", "text")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bags = [bag(value.as_py()) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([rows.tobytes() for rows, _ in bags], pa.binary()),
-                    pa.array([shares.tobytes() for _, shares in bags], pa.binary()),
-                ],
-                names=["lang", "rows", "shares"],
-            )
 
-    counted = sample.select("lang", "text").mapInArrow(
-        count, "lang string, rows binary, shares binary"
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Train on a sample of the documents that have a text and a language.
+
+    One task counts the bags of the sample and trains; the driver gets the model.
+    Documents without a letter are not learned from.
+    """
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [
+            (label, *bag(value))
+            for batch in batches
+            for label, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        ]
+        # The order in which rows arrive must not matter.
+        used = sorted((own for own in found if len(own[1])), key=lambda own: (own[0], own[1].tobytes()))
+        model = train([own[1:] for own in used], [own[0] for own in used])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([model.languages], pa.list_(pa.string())),
+                pa.array([model.table.astype(np.float64).tobytes()], pa.binary()),
+                pa.array([model.bias.astype(np.float64).tobytes()], pa.binary()),
+                pa.array([model.temperature], pa.float64()),
+                pa.array([model.threshold], pa.float64()),
+            ],
+            names=["languages", "table", "bias", "temperature", "threshold"],
+        )
+
+    # one task learns, so that neither the sample nor its bags reach the driver
+    learned = sample(docs, text, lang).coalesce(1).mapInArrow(
+        learn, "languages array<string>, table binary, bias binary, temperature double, threshold double"
     )
-    found = counted.toArrow()
-    bags = [
-        (np.frombuffer(rows, np.int32), np.frombuffer(shares, np.float32))
-        for rows, shares in zip(found.column("rows").to_pylist(), found.column("shares").to_pylist())
-    ]
-    labels = found.column("lang").to_pylist()
-    used = [place for place, (rows, _) in enumerate(bags) if len(rows)]
-    # The order in which tasks answer must not matter.
-    used.sort(key=lambda place: (labels[place], bags[place][0].tobytes()))
-    return train([bags[place] for place in used], [labels[place] for place in used])
+    row = learned.first()
+    if row is None:  # no partition at all
+        return train([], [])
+    table = np.frombuffer(row["table"]).reshape(ROWS, len(row["languages"]))
+    bias = np.frombuffer(row["bias"])
+    return Model(list(row["languages"]), table, bias, row["temperature"], row["threshold"])
 
 
 def identify(

@@ -7,6 +7,7 @@ Their keys are also in cuckoo filters, one per shard of keys. A line meets its s
 filter first and only those the filter may hold are joined with the exact counts.
 """
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +16,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import SPACES, parallel, slices, with_field
+from tripmart.llm.common import SPACES, parallel, remove_stored, slices, stored, with_field
 from tripmart.operators.joins import hot_keys
-from tripmart.storage import new_folder, remove_folder
+from tripmart.storage import create_once, new_folder, read_or_empty, remove_folder
 
 MIN_CODE_POINTS = 40
 MIN_DOCS = 5
@@ -26,6 +27,8 @@ KEYS_PER_SHARD = 100_000
 # A key with more than one part in this many of all references is looked up by broadcast.
 HOT_PARTS = 2_000
 MIN_HOT_REFERENCES = 1_000
+# Batches of references that are read beside those summed up before.
+COMPACT_AFTER = 8
 
 
 def line_key(line: bytes) -> bytes | None:
@@ -219,37 +222,73 @@ class LineIndex:
 
     A document is named by its doc_id: rows that repeat a doc_id are one document with the
     lines of all of them, and all null ids together are one document, which is never the
-    last to hold a line unless nobody else does. ``delete`` takes the same rows that were
-    inserted.
+    last to hold a line unless nobody else does. A line is referenced as often as it was
+    inserted; ``delete`` takes the same rows and takes one insertion back. Rows whose lines are
+    not referenced raise, and nothing is deleted then.
+
+    The folder holds all there is: an index opened on it again goes on where the last change ended.
+    One writer at a time is assumed. A log of COMPACT_AFTER batches is summed up into one.
     """
 
     def __init__(self, spark: SparkSession, folder: str, min_docs: int = MIN_DOCS):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.min_docs = min_docs
-        self._batches = 0
-        self._version = 0
-        self._shards = 0
+        # each is named by a file that is made when it is complete
+        done = self._done()
+        self._base = max((number for kind, number, _ in done if kind == "base"), default=0)
+        self._batches = max((number for kind, number, _ in done if kind == "batch"), default=0)
+        self._version, self._shards = max(
+            ((number, shards) for kind, number, shards in done if kind == "version"), default=(0, 0)
+        )
+
+    def _done(self) -> list[tuple[str, int, int]]:
+        log = read_or_empty(self.spark, f"{self.folder}/done", "kind string, number int, shards int", "json")
+        return [(row["kind"], row["number"], row["shards"]) for row in log.collect()]
+
+    def _finish(self, kind: str, number: int, shards: int = 0) -> None:
+        text = json.dumps({"kind": kind, "number": number, "shards": shards})
+        create_once(self.spark, f"{self.folder}/done/{kind}-{number}.json", text)
 
     def insert(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> None:
-        self._append(docs, 1, key, text)
+        self._append(_distinct_keys(docs, key, text), 1)
 
     def delete(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> None:
-        self._append(docs, -1, key, text)
-
-    def _append(self, docs: DataFrame, delta: int, key: str, text: str) -> None:
-        lines = _distinct_keys(docs, key, text).withColumn("delta", F.lit(delta).cast("long"))
-        lines.write.mode("overwrite").parquet(f"{self.folder}/references/batch={self._batches}")
+        lines = stored(_distinct_keys(docs, key, text), "deleted")
+        taken = lines.groupBy("key", "doc_id").agg(F.count("*").alias("n"))
+        known = self._summed().withColumnsRenamed({"key": "known_key", "doc_id": "known_doc"})
+        same = (F.col("key") == F.col("known_key")) & F.col("doc_id").eqNullSafe(F.col("known_doc"))
+        same &= F.col("delta") >= F.col("n")
+        missing = taken.join(known, same, "left_anti").limit(3).collect()
+        if missing:
+            raise ValueError(f"lines that were not inserted, of documents {[row['doc_id'] for row in missing]}")
+        self._append(lines, -1)
+        remove_stored(lines)
+
+    def _append(self, lines: DataFrame, delta: int) -> None:
+        lines = lines.withColumn("delta", F.lit(delta).cast("long"))
+        lines.write.mode("overwrite").parquet(f"{self.folder}/references/batch={self._batches + 1}")
         self._batches += 1
+        self._finish("batch", self._batches)
+        if self._batches - self._base >= COMPACT_AFTER:
+            self._summed().write.mode("overwrite").parquet(f"{self.folder}/base={self._batches}")
+            self._finish("base", self._batches)
+            self._base = self._batches
+
+    def _summed(self) -> DataFrame:
+        """Every (key, doc_id) with how often it is referenced."""
+        paths = [f"{self.folder}/references/batch={i}" for i in range(self._base + 1, self._batches + 1)]
+        if self._base:
+            paths.append(f"{self.folder}/base={self._base}")
+        if not paths:
+            return self.spark.createDataFrame([], _REFERENCES)
+        log = self.spark.read.schema(_REFERENCES).parquet(*paths)
+        alive = log.groupBy("key", "doc_id").agg(F.sum("delta").alias("delta"))
+        return alive.filter("delta > 0")
 
     def references(self) -> DataFrame:
         """Every (key, doc_id) that is referenced now."""
-        if not self._batches:
-            return self.spark.createDataFrame([], "key binary, doc_id bigint")
-        paths = [f"{self.folder}/references/batch={i}" for i in range(self._batches)]
-        log = self.spark.read.schema(_REFERENCES).parquet(*paths)
-        alive = log.groupBy("key", "doc_id").agg(F.sum("delta").alias("delta"))
-        return alive.filter("delta > 0").select("key", "doc_id")
+        return self._summed().select("key", "doc_id")
 
     def counts(self) -> DataFrame:
         """Exact number of documents per key, and the largest doc_id."""
@@ -266,19 +305,18 @@ class LineIndex:
         Filters change by the keys that became dense or ceased to be; only a changed
         number of shards builds them anew.
         """
+        version = self._version + 1
         before = self._read("dense", _DENSE) if self._version else None
         old = self._read("filters", _FILTERS) if self._version else None
-        self._version += 1
         dense = self.counts().filter(F.col("n_docs") >= self.min_docs)
-        dense.write.mode("overwrite").parquet(f"{self.folder}/dense={self._version}")
-        dense = self._read("dense", _DENSE)
+        dense.write.mode("overwrite").parquet(f"{self.folder}/dense={version}")
+        dense = self.spark.read.schema(_DENSE).parquet(f"{self.folder}/dense={version}")
         shards = slices(dense.count(), KEYS_PER_SHARD, self.spark)
         if shards != self._shards or before is None:
             came, gone, old = dense.select("key"), None, None
         else:
             came = dense.select("key").join(before.select("key"), "key", "left_anti")
             gone = before.select("key").join(dense.select("key"), "key", "left_anti")
-        self._shards = shards
         blank = F.lit(None).cast("binary")
         size = F.lit(2 * KEYS_PER_SHARD).alias("size")
 
@@ -298,8 +336,10 @@ class LineIndex:
             .sortWithinPartitions("shard", "kind")
             .mapInArrow(_updated_filters, _FILTERS)
             .write.mode("overwrite")
-            .parquet(f"{self.folder}/filters={self._version}")
+            .parquet(f"{self.folder}/filters={version}")
         )
+        self._finish("version", version, shards)
+        self._version, self._shards = version, shards
 
     def drops(self, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         """Per doc_id the keys of the lines it loses, for documents that lose any.
@@ -371,9 +411,10 @@ def clean(docs: DataFrame, drops: DataFrame, key: str = "doc_id", text: str = "t
             columns += [pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    lost = drops.select(F.col("doc_id").alias("_lost_doc"), F.col("keys").alias("_lost_keys"))
-    same = F.col(key).cast("long").eqNullSafe(F.col("_lost_doc"))
-    joined = docs.join(lost, same, "left").select(*docs.columns, "_lost_keys")
+    # named by place, as the input may have columns of any names
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    same = F.col(f"c{names.index(key)}").cast("long").eqNullSafe(F.col("doc_id"))
+    joined = plain.join(drops.select("doc_id", "keys"), same, "left").select(*plain.columns, "keys")
     return joined.mapInArrow(tasks, schema)
 
 

@@ -132,11 +132,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys)),
             ],
-            names=["doc_id", "n_shingles", "digest", "bands"],
+            names=["doc_id", "mark", "n_shingles", "digest", "bands"],
         )
 
 
@@ -355,16 +356,73 @@ def near_duplicates(
     for candidates and for texts of buckets of three or more only; a class with very many
     candidates is one row, met by a join that can be split.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rooted = _rooted(docs, key, text, threshold_percent)
+    found = rooted.filter("root is not null")
+    smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return (
+        found.join(smallest, "root")
+        .select("doc_id", "n_shingles", "component_id")
+        .union(
+            rooted.filter("root is null").select(
+                "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+            )
+        )
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .withColumnRenamed("doc_id", key)
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold_percent: int = THRESHOLD_PERCENT,
+) -> DataFrame:
+    """One row of each group of near duplicates, with all columns; links are those of ``near_duplicates``.
+
+    The row with the smallest key stays, one without key only if all are. Rows are told apart
+    by key and text, so of rows that share a key only those linked to others go. Of
+    rows that repeat key and text one stays. Texts without words are linked with
+    nothing and all stay. An empty table gives an empty one.
+    """
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    own_key, own_text = (f"c{names.index(name)}" for name in (key, text))
+    rooted = stored(_rooted(plain, own_key, own_text, threshold_percent).filter("root is not null"), "rooted")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark")
+    first = rooted.groupBy("root").agg(F.min(place).alias("first"))
+    gone = rooted.join(first, "root").filter(place != F.col("first"))
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    marked = plain.withColumns({"doc_id": F.col(own_key).cast("long"), "mark": F.xxhash64(own_text)})
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("mark") == F.col("gone_mark"))
+    kept = marked.join(gone, same, "left_anti")
+    repeated = rooted.groupBy("doc_id", "mark").count().filter("count > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")), "repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "mark"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(once)
+    return kept.select(*plain.columns).toDF(*names)
+
+
+def _rooted(docs: DataFrame, key: str, text: str, threshold_percent: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, root): every row with the class that names its component.
+
+    ``mark`` is a hash of the text; ``root`` is null for texts without words.
+    """
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")
+    )
     sketches = stored(
         rows.mapInArrow(
-            _sketched, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
+            _sketched,
+            "doc_id bigint, mark bigint, n_shingles bigint, digest binary, bands array<bigint>",
         ),
         "sketches",
     )
     known = sketches.filter("digest is not null")
     grouped = known.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"),
+        F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("mark"),
         F.first("n_shingles").alias("n"),
         F.first("bands").alias("bands"),
     )
@@ -373,10 +431,12 @@ def near_duplicates(
     pairs = stored(_unordered(_candidates(shared), threshold_percent), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest"))
     wanted = wanted.union(shared.filter("size > 2").select("digest")).distinct()
-    wanted = stored(classes.select("digest", "doc_id").join(wanted, "digest"), "wanted")
-    wanted = wanted.withColumnRenamed("doc_id", "_wanted")
-    # merged at any size: texts are to move alike however few are wanted
-    texts = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_wanted")))
+    wanted = stored(classes.select("digest", "doc_id", "mark").join(wanted, "digest"), "wanted")
+    wanted = wanted.withColumnsRenamed({"doc_id": "_wanted", "mark": "_mark"})
+    # merged at any size: texts are to move alike however few are wanted; the text tells rows
+    # apart that share a key or have none
+    same = F.col("doc_id").eqNullSafe(F.col("_wanted")) & (F.col("mark") == F.col("_mark"))
+    texts = rows.join(wanted.hint("merge"), same)
     sets = stored(
         texts.select("doc_id", "text", "digest").mapInArrow(
             _sets, "digest binary, hashes array<bigint>"
@@ -388,19 +448,6 @@ def near_duplicates(
     left = _leftover_pairs(unsettled, sets, threshold_percent)
     left = stored(left.join(pairs, ["a", "b"], "left_anti"), "leftover")
     roots = _joined_roots(_confirmed(left, sets, threshold_percent), unsettled, roots)
-    rooted = sketches.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "digest").alias("root")
-    )
-    found = rooted.filter("root is not null")
-    smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return (
-        found.join(smallest, "root")
-        .select("doc_id", "n_shingles", "component_id")
-        .union(
-            rooted.filter("root is null").select(
-                "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-            )
-        )
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .withColumnRenamed("doc_id", key)
+    return sketches.join(roots.withColumnRenamed("node", "digest"), "digest", "left").select(
+        "doc_id", "mark", "n_shingles", F.coalesce("root", "digest").alias("root")
     )

@@ -6,8 +6,8 @@ whose padded size stays within a token budget.
 """
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,51 +16,58 @@ from tripmart.llm.common import stored
 
 BUCKETS = 16
 TOKEN_BUDGET = 16_384
-# Lengths are told apart to this many leading binary digits in the histogram.
-DIGITS = 8
 # Rows of a bucket are numbered apart by this many leading hexadecimal digits of their md5.
 SLOT_DIGITS = 3
 
 
-def length_bin(length: int) -> int:
-    """The upper end of a length's histogram bin: the length itself up to 2**DIGITS."""
-    shift = max(0, length.bit_length() - DIGITS)
-    return -(-length >> shift) << shift
-
-
 def boundaries(tops: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
-    """Ends of at most ``buckets`` buckets over sorted bin tops with the least padding.
+    """Ends of at most ``buckets`` buckets over ascending lengths with the least padding.
 
     Every row is padded to the end of its bucket, so the sum of count times end is least;
-    among equal sums fewer buckets win.
+    among equal sums fewer buckets win. What a last bucket from some length on costs is a line in
+    its end, so each level of the dynamic programming keeps the lower hull of these lines and goes through
+    the lengths once. Whole numbers only.
     """
     size = len(tops)
     if not size:
         return []
-    ends = np.asarray(tops, np.float64)
-    total = np.concatenate([[0.0], np.cumsum(np.asarray(counts, np.float64))])
-    best = ends * total[1:]
-    choice: list[np.ndarray] = [np.full(size, -1)]
-    costs = [best[-1]]
+    total = [0, *accumulate(counts)]
+    best = [end * total[place + 1] for place, end in enumerate(tops)]
+    choice, costs = [[-1] * size], [best[-1]]
     for _ in range(min(buckets, size) - 1):
-        following, chosen = best.copy(), np.full(size, -2)
+        following, chosen = best.copy(), [-2] * size
+        hull: list[tuple[int, int, int]] = []  # slope, height, where the bucket before it ends
+        low = 0
         for end in range(1, size):
-            cost = best[:end] + ends[end] * (total[end + 1] - total[1 : end + 1])
-            split = int(cost.argmin())
-            if cost[split] < following[end]:
-                following[end], chosen[end] = cost[split], split
+            line = (-total[end], best[end - 1], end - 1)
+            while len(hull) - low > 1 and _hidden(hull[-2], hull[-1], line):
+                hull.pop()
+            hull.append(line)
+            x = tops[end]
+            while low + 1 < len(hull) and (
+                hull[low + 1][0] * x + hull[low + 1][1] < hull[low][0] * x + hull[low][1]
+            ):
+                low += 1
+            cost = hull[low][0] * x + hull[low][1] + x * total[end + 1]
+            if cost < following[end]:
+                following[end], chosen[end] = cost, hull[low][2]
         best = following
         choice.append(chosen)
         costs.append(best[-1])
-    level, at, found = int(np.argmin(costs)), size - 1, []
+    level, at, found = costs.index(min(costs)), size - 1, []
     while at >= 0:
         while choice[level][at] == -2:
             level -= 1
         found.append(int(tops[at]))
-        at, level = int(choice[level][at]), level - 1
+        at, level = choice[level][at], level - 1
     return found[::-1]
 
 
+def _hidden(one: tuple[int, int, int], two: tuple[int, int, int], three: tuple[int, int, int]) -> bool:
+    """Whether the middle of three lines of falling slope is nowhere below both others."""
+    return (two[1] - one[1]) * (two[0] - three[0]) >= (three[1] - two[1]) * (one[0] - two[0])
+
+
 def pack(
     rows: DataFrame,
     key: str = "doc_id",
@@ -74,25 +81,20 @@ def pack(
     length, and one row at least, so a row above the budget is a batch by itself. Rows of
     a bucket follow each other by the md5 of their key, which spreads sources over batches,
     then by key and length; equal rows may change places with each other. A null length
-    counts as 0 and a null key comes first. Only key and length are moved. The histogram
-    has some 128 bins for every doubling of the length, so the driver sees a few thousand
-    numbers whatever the number of rows. Row numbers come from counts per bucket and
+    counts as 0, as a negative one does, and a null key comes first. Only key and length are moved. The
+    histogram has a number for every length that occurs, and a bucket ends with its longest row, so no
+    other boundaries waste less. The driver sees the histogram, at most as many numbers as the
+    longest row has tokens. Row numbers come from counts per bucket and
     leading digits of the md5, so no task orders a bucket; those counts are broadcast and
     number buckets * 4096 at most.
     """
     lengths = rows.select(
-        F.col(key).alias("key"), F.coalesce(F.col(length).cast("long"), F.lit(0)).alias("length")
+        F.col(key).alias("key"), F.greatest(F.col(length).cast("long"), F.lit(0)).alias("length")
     )
     # read three times, while a length may take a pass over a text
     lengths = stored(lengths, "lengths")
-    digits = F.length(F.bin("length"))
-    shift = F.greatest(digits - DIGITS, F.lit(0)).cast("int")
-    step = F.call_function("shiftleft", F.lit(1).cast("long"), shift)
-    # whole numbers only, so that no length is rounded twice
-    padded = F.col("length") + step - 1
-    top = (padded - F.pmod(padded, step)).alias("top")
-    histogram = sorted(lengths.groupBy(top).agg(F.count("*").alias("n")).collect())
-    ends = boundaries([row["top"] for row in histogram], [row["n"] for row in histogram], buckets)
+    histogram = sorted(lengths.groupBy("length").agg(F.count("*").alias("n")).collect())
+    ends = boundaries([row["length"] for row in histogram], [row["n"] for row in histogram], buckets)
     end = F.lit(None).cast("long")
     for value in reversed(ends):
         end = F.when(F.col("length") <= value, F.lit(value).cast("long")).otherwise(end)

@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored
-from tripmart.storage import remove_folder
+from tripmart.llm.common import remove_stored, stored
 
 TOP = 50
 # Fixed value: what separates terms, [\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F].
@@ -335,6 +334,5 @@ def _ranked_block(rows: DataFrame, block: list[tuple[object, list[bytes]]], top:
     for place, score in best(held.filter(first), floors).filter(F.col("rank") == top).select("place", "score").collect():
         floors[place] = score
     result = stored(best(held, floors), "ranked")
-    for folder in {path.rsplit("/", 1)[0] for path in vectors.inputFiles()}:
-        remove_folder(spark, folder)
+    remove_stored(vectors)
     return result

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import stored, with_field
+from tripmart.llm.common import remove_stored, stored, with_field
 
 # A span is the shortest run with so many sentences and words.
 MIN_SENTENCES = 2
@@ -148,18 +148,19 @@ def _span_batch(batch, digests: list[bytes], rows: list[int], places: list[int])
 def covered_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(document, mark, places): where each text has spans that are not the first of theirs.
 
-    ``mark`` is a hash of the text, so that rows which share a key are told apart by it.
+    ``mark`` is a hash of the text, so that rows which share a key are told apart by it. Where no
+    rows do, it is 0, and so costs nothing to move.
     """
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("document"),
-        F.xxhash64(text).alias("mark"),
-        F.col(text).alias("text"),
-    )
-    spans = stored(rows.mapInArrow(_spans, _SPANS), "spans")
-    # counted by plain columns first: only spans that repeat are ordered
-    repeated = spans.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = stored(repeated.select("one", "two"), "repeated")
-    spans = stored(spans.join(repeated, ["one", "two"]), "spans")
+    document = F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("document")
+    shared = docs.groupBy(document).agg(F.count("*").alias("n")).filter("n > 1")
+    mark = F.lit(0).cast("long") if shared.isEmpty() else F.xxhash64(text)
+    rows = docs.select(document, mark.alias("mark"), F.col(text).alias("text"))
+    every = stored(rows.mapInArrow(_spans, _SPANS), "spans")
+    # counted by half a digest first: few spans that do not repeat go on from there
+    repeated = every.groupBy("one").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = stored(repeated.select("one"), "repeated")
+    spans = stored(every.join(repeated, "one"), "spans")
+    remove_stored(every, repeated)
     first = F.min(F.struct("document", "mark", "place")).alias("first")
     # stored, so that a hot span is split in the join
     firsts = stored(spans.groupBy("one", "two").agg(first), "firsts")
@@ -181,13 +182,14 @@ def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     names = docs.columns
     where = names.index(text)
     schema = with_field(docs.schema, ("n_sentences", "bigint"), ("n_removed", "bigint"))
-    covered = covered_spans(docs, key, text).withColumnsRenamed(
-        {"document": "_span_document", "mark": "_span_mark", "places": "_span_places"}
-    )
-    same = (F.coalesce(F.col(key).cast("long"), F.lit(_LAST)) == F.col("_span_document")) & (
-        F.xxhash64(text) == F.col("_span_mark")
+    covered = covered_spans(docs, key, text)
+    # named by place, as the input may have columns of any names
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    own_key, own_text = f"c{names.index(key)}", f"c{where}"
+    same = (F.coalesce(F.col(own_key).cast("long"), F.lit(_LAST)) == F.col("document")) & (
+        (F.col("mark") == 0) | (F.xxhash64(own_text) == F.col("mark"))
     )
-    joined = docs.join(covered, same, "left").select(*names, "_span_places")
+    joined = plain.join(covered, same, "left").select(*plain.columns, "places")
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
