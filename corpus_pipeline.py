@@ -13,33 +13,42 @@ from tripmart.llm.common import crc_rest, stored
 from tripmart.llm.queries import word_count
 
 
+def _by_place(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """Documents with columns named by place, so that no operator meets a name of its own."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain, f"c{names.index('doc_id')}", f"c{names.index('text')}"
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is accepted; those without a letter go too.
 
     The model learns from labelled documents outside the held-out fourth.
     """
-    columns = docs.columns
     model = language.fit(docs.filter(crc_rest("doc_id", 4) != 2))
-    names = ("_lang_pred", "_lang_score", "_lang_accepted")
-    found = language.identify(docs, model, names=names)
-    return found.filter("_lang_accepted").select(*columns)
+    plain, _, text = _by_place(docs)
+    found = language.identify(plain, model, text)
+    return found.filter("accepted").select(*plain.columns).toDF(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that many documents share; every document stays."""
-    return lines.dedup_lines(docs).select(*docs.columns)
+    plain, key, text = _by_place(docs)
+    return lines.dedup_lines(plain, key, text).select(*plain.columns).toDF(*docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest doc_id."""
-    groups = minhash.near_duplicates(docs)
-    gone = groups.filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates, that with the smallest doc_id.
+
+    Rows are told apart by doc_id and text: a clean one stays whatever shares its doc_id.
+    """
+    return minhash.drop_near_duplicates(docs)
 
 
 def dedup_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand earlier in the corpus; every document stays."""
-    return spans.dedup_spans(docs).select(*docs.columns)
+    plain, key, text = _by_place(docs)
+    return spans.dedup_spans(plain, key, text).select(*plain.columns).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
