@@ -94,6 +94,18 @@ def _per_location(fact_key: str, side: str) -> str:
         group by all"""
 
 
+def _per_version(fact_key: str) -> str:
+    reformed = "borough = 'ASIA' and tpep_pickup_datetime >= timestamp '1999-01-01'"
+    return f"""
+        select pick_year as year, LocationID, X, Y, zone, borough,
+               case when {reformed} then 'SZ9' else service_zone end as service_zone,
+               case when borough = 'EUROPE' or {reformed}
+                    then date '1999-01-01' else date '1995-01-01' end as valid_from,
+               cast(count(*) as bigint) as total_trips
+        from dated join zones on {fact_key} = LocationID
+        group by all"""
+
+
 def _metrics(name: str, prediction: str) -> str:
     error = f"({LABEL} - {prediction})"
     return f"""
@@ -274,6 +286,19 @@ _SELECTS = {
         union all
         select *, date '1999-01-01', cast(null as date), true
         from ({_rezoned(_location("DOLocationID", "raw"))}) where borough in ('ASIA', 'EUROPE')""",
+    "trips_per_pickup_version": _per_version("pu_location_id"),
+    "trips_per_dropoff_version": _per_version("do_location_id"),
+    "trips_per_current_zone": f"""
+        select * replace (case when borough = 'ASIA' then 'SZ9' else service_zone end as service_zone)
+        from ({_per_location("pu_location_id", "pickup")})""",
+    "period_ledger": f"""
+        select year, month, rows, case when year <= {SPLIT_YEAR} then 'loaded' else 'new' end as state
+        from periods""",
+    "rejected_rows": f"""
+        select case when not ({_COMPLETE}) then 'incomplete'
+                    when not trip_distance > 0 then 'no distance'
+                    else 'no passengers' end as reason, {_TRIP}
+        from raw where not ({_VALID})""",
     "payment_per_year": """
         select pick_year as year, payment_id, payment_type_name as payment_name,
                cast(count(*) as bigint) as total_trips
@@ -313,5 +338,7 @@ _SELECTS = {
     "regression_metrics": _metrics("fare only", "fare_amount"),
 }
 _SELECTS["mart_publish"] = _SELECTS["trips_per_hour"]
+_SELECTS["scd_upsert"] = _SELECTS["scd_type1"]
+_SELECTS["scd_add_versions"] = _SELECTS["scd_type2"]
 
 ORACLES = {name: _PRELUDE + select for name, select in _SELECTS.items()}

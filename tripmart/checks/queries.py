@@ -1,17 +1,24 @@
 """Every operator as a query over the driver's tables."""
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.checks.fixtures import YEAR_FOLDER, land, land_green, land_mixed_layouts
-from tripmart.functions.calendar import calendar_parts, code_label, fractional_hour, weekday_name
+from tripmart.functions.calendar import (
+    calendar_parts,
+    code_label,
+    fractional_hour,
+    weekday_name,
+    year_start,
+)
 from tripmart.operators import changes, filters, keys, sinks
 from tripmart.operators.joins import broadcast_up_to, join_unique
-from tripmart.plans import marts, models
+from tripmart.plans import ledger, marts, models
 from tripmart.plans import warehouse as wh
 from tripmart.sources import normalise, trips
 from tripmart.storage import new_folder, remove_folder
@@ -19,8 +26,10 @@ from tripmart.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Years of the test data: orders run from 1995-01-01 to 2001-08-01.
-FIRST_YEAR, SPLIT_YEAR, LAST_YEAR = 1995, 1997, 2001
+# A year of the test data that parts early trips from late ones.
+SPLIT_YEAR = 1997
+# When the zones of the test history change, and from when its first lookup holds.
+ZONES_FROM, REFORM = datetime.date(1995, 1, 1), datetime.date(1999, 1, 1)
 
 _WAREHOUSES: dict[tuple[str, str], wh.Warehouse] = {}
 QUERIES: dict[str, Query] = {}
@@ -38,9 +47,14 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.read_trips(spark, land(spark, sf_dir).area)
 
 
-def _raw_years(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
+def _years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The years trips were picked up in, as the area has folders for them."""
+    found = _raw(spark, sf_dir).select(F.year(wh.PAIR[0]).alias("year")).distinct()
+    return sorted(row["year"] for row in found.collect())
+
+
+def _raw_years(spark: SparkSession, sf_dir: str, years: list[int]) -> DataFrame:
     area = land(spark, sf_dir).area
-    years = range(first, last + 1)
     return trips.read_trips(spark, *(trips.batch_path(area, year, YEAR_FOLDER) for year in years))
 
 
@@ -380,7 +394,7 @@ def head_rows(spark, sf_dir):
 @_register
 def dim_new_rows(spark, sf_dir):
     clean = filters.valid_trips(_raw(spark, sf_dir))
-    stored = wh.distinct_pairs(filters.picked_up_in(clean, FIRST_YEAR, SPLIT_YEAR))
+    stored = wh.distinct_pairs(clean.filter(_early()))
     return changes.new_rows(wh.distinct_pairs(clean), stored)
 
 
@@ -533,21 +547,26 @@ def fact_trip(spark, sf_dir):
     return stored_warehouse(spark, sf_dir).fact_trip()
 
 
-def _pairs(spark: SparkSession, sf_dir: str, first: int, last: int) -> DataFrame:
-    return wh.distinct_pairs(filters.valid_trips(_raw(spark, sf_dir), (first, last)))
+def _early() -> Column:
+    """Trips picked up in the split year or before, however early."""
+    return F.col(wh.PAIR[0]) < year_start(SPLIT_YEAR + 1)
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wh.distinct_pairs(filters.valid_trips(_raw(spark, sf_dir)))
 
 
 @_register
 def surrogate_key(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir, FIRST_YEAR, LAST_YEAR)
+    pairs = _pairs(spark, sf_dir)
     return keys.assign_key(pairs, wh.PAIR, "datetime_id", 0, new_folder(spark, "keys"))[0]
 
 
 @_register
 def surrogate_key_next(spark, sf_dir):
-    early = _pairs(spark, sf_dir, FIRST_YEAR, SPLIT_YEAR)
+    pairs = _pairs(spark, sf_dir)
+    early, late = pairs.filter(_early()), pairs.filter(~_early())
     stored, _ = keys.assign_key(early, wh.PAIR, "datetime_id", 0, new_folder(spark, "keys"))
-    late = _pairs(spark, sf_dir, SPLIT_YEAR + 1, LAST_YEAR)
     start = keys.next_key(stored, "datetime_id")
     return keys.assign_key(late, wh.PAIR, "datetime_id", start, new_folder(spark, "keys"))[0]
 
@@ -560,21 +579,22 @@ def warehouse_init(spark, sf_dir):
 @_register
 def warehouse_batch(spark, sf_dir):
     zones, root = _zones(spark, sf_dir), new_folder(spark, "warehouse")
-    early = trips.with_source_row(_raw_years(spark, sf_dir, FIRST_YEAR, LAST_YEAR - 1))
-    wh.init_warehouse(early, zones, root)
-    late = trips.with_source_row(_raw_years(spark, sf_dir, LAST_YEAR, LAST_YEAR))
+    *before, last = _years(spark, sf_dir)
+    wh.init_warehouse(trips.with_source_row(_raw_years(spark, sf_dir, before)), zones, root)
+    late = trips.with_source_row(_raw_years(spark, sf_dir, [last]))
     for _ in range(2):  # the second run replaces the first
-        stored = wh.load_batch(late, zones, root, 1, (LAST_YEAR, LAST_YEAR))
+        stored = wh.load_batch(late, zones, root, 1, (last, last))
     return stored.fact_trip()
 
 
 @_register
 def warehouse_backfill(spark, sf_dir):
     zones, root = _zones(spark, sf_dir), new_folder(spark, "warehouse")
-    first = trips.with_source_row(_raw_years(spark, sf_dir, FIRST_YEAR, FIRST_YEAR))
-    wh.init_warehouse(first, zones, root, (FIRST_YEAR, FIRST_YEAR))
-    rest = trips.with_source_row(_raw_years(spark, sf_dir, FIRST_YEAR + 1, LAST_YEAR))
-    return wh.backfill(rest, zones, root, FIRST_YEAR + 1, LAST_YEAR).fact_trip()
+    first, *rest = _years(spark, sf_dir)
+    early = trips.with_source_row(_raw_years(spark, sf_dir, [first]))
+    wh.init_warehouse(early, zones, root, (first, first))
+    late = trips.with_source_row(_raw_years(spark, sf_dir, rest))
+    return wh.backfill(late, zones, root, rest[0], rest[-1]).fact_trip()
 
 
 @_register
@@ -594,8 +614,36 @@ def _rezoned(zones: DataFrame) -> DataFrame:
     return zones.withColumn("service_zone", reformed)
 
 
+_HISTORIES: dict[tuple[str, str], wh.Warehouse] = {}
+
+
+def _reformed_warehouse(spark: SparkSession, sf_dir: str) -> wh.Warehouse:
+    """Two loads: early trips with a lookup that lacks a borough, and late ones after a reform."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HISTORIES:
+        zones, root = _zones(spark, sf_dir), new_folder(spark, "warehouse")
+        scan = trips.with_source_row(_raw(spark, sf_dir))
+        reform = F.lit(REFORM.isoformat()).cast("timestamp_ntz")
+        old = zones.filter(F.col("borough") != "EUROPE")
+        early, late = (scan.filter(F.col(wh.PAIR[0]) < reform), scan.filter(F.col(wh.PAIR[0]) >= reform))
+        wh.load_batch(early, old, root, 0, zones_from=ZONES_FROM)
+        _HISTORIES[key] = wh.load_batch(late, _rezoned(zones), root, 1, zones_from=REFORM)
+    return _HISTORIES[key]
+
+
 @_register
 def scd_type1(spark, sf_dir):
+    return _reformed_warehouse(spark, sf_dir).dim_pickup_location()
+
+
+@_register
+def scd_type2(spark, sf_dir):
+    versions = _reformed_warehouse(spark, sf_dir).versions(wh.DROPOFF)
+    return versions.select(*wh.DROPOFF.schema.names, "valid_from", "valid_to", "is_current")
+
+
+@_register
+def scd_upsert(spark, sf_dir):
     stored = wh.build_dim_location(_raw(spark, sf_dir), _zones(spark, sf_dir), wh.PICKUP)
     incoming = _rezoned(stored).filter(F.col("borough").isin("ASIA", "EUROPE"))
     kept = stored.filter(F.col("borough") != "EUROPE")
@@ -603,7 +651,7 @@ def scd_type1(spark, sf_dir):
 
 
 @_register
-def scd_type2(spark, sf_dir):
+def scd_add_versions(spark, sf_dir):
     incoming = wh.build_dim_location(_raw(spark, sf_dir), _zones(spark, sf_dir), wh.DROPOFF)
     history = incoming.filter(F.col("borough") != "EUROPE").withColumns(
         {
@@ -617,6 +665,35 @@ def scd_type2(spark, sf_dir):
     return changes.add_versions(history, _rezoned(incoming), key, attributes, changed_on)
 
 
+@_register
+def trips_per_pickup_version(spark, sf_dir):
+    return marts.trips_per_pickup_version(_reformed_warehouse(spark, sf_dir))
+
+
+@_register
+def trips_per_dropoff_version(spark, sf_dir):
+    return marts.trips_per_dropoff_version(_reformed_warehouse(spark, sf_dir))
+
+
+@_register
+def trips_per_current_zone(spark, sf_dir):
+    return marts.trips_per_pu_location(_reformed_warehouse(spark, sf_dir))
+
+
+@_register
+def period_ledger(spark, sf_dir):
+    folder, scan = new_folder(spark, "ledger"), _raw(spark, sf_dir)
+    done = ledger.landed_files(scan).filter(F.col("year") <= SPLIT_YEAR)
+    ledger.enter(done, folder)
+    files = ledger.judged(ledger.landed_files(scan), ledger.read_ledger(spark, folder))
+    return ledger.period_states(files).drop("files")
+
+
+@_register
+def rejected_rows(spark, sf_dir):
+    return filters.rejected_trips(_raw(spark, sf_dir)).select("reason", *schemas.RAW_TRIP.names)
+
+
 # Reports
 
 

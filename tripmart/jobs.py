@@ -1,22 +1,65 @@
 """The jobs, to be started with ``spark-submit`` or ``python -m tripmart.jobs``."""
 
 import argparse
+import time
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from tripmart.operators.filters import rejected_trips
 from tripmart.operators.sinks import publish, write_parquet
-from tripmart.plans import marts, models
-from tripmart.plans.warehouse import Warehouse, backfill, init_warehouse, load_batch
+from tripmart.plans import ledger, marts, models
+from tripmart.plans.warehouse import Warehouse, backfill, init_warehouse, load_batch, vacuum
 from tripmart.schemas import GREEN_RENAMES
 from tripmart.sources.normalise import read_files
-from tripmart.sources.trips import batch_path, parse_year, read_trips, read_zones, with_source_row
+from tripmart.sources.trips import (
+    SOURCE_FILE,
+    batch_path,
+    parse_year,
+    read_trips,
+    read_zones,
+    with_source_row,
+)
 from tripmart.streaming.landing import load_landed
 
 
 def _normalise(spark: SparkSession, args: argparse.Namespace) -> None:
     renames = GREEN_RENAMES if args.fleet == "green" else None
-    write_parquet(read_files(spark, args.files, renames), args.out)
+    if args.ledger is None:
+        write_parquet(read_files(spark, args.files, renames), args.out)
+        return
+    scan = spark.read.option("recursiveFileLookup", True).option("mergeSchema", False)
+    files = ledger.to_normalise(scan.parquet(*args.files), args.ledger, args.year, args.fleet)
+    for row in ledger.period_states(files).orderBy("year", "month", "state").collect():
+        print(f"{row['year']}-{row['month']:02d}: {row['state']}, {row['rows']} rows of {row['files']} files")
+    todo = files.filter(F.col("state") != ledger.LOADED)
+    paths = [unquote(row[SOURCE_FILE]) for row in todo.select(SOURCE_FILE).toLocalIterator()]
+    if paths:
+        run = f"{args.out.rstrip('/')}/{uuid.uuid4().hex}"
+        write_parquet(read_files(spark, paths, renames), run)
+        ledger.enter(todo, args.ledger)
+
+
+def _rejects(spark: SparkSession, args: argparse.Namespace) -> None:
+    rejected = rejected_trips(with_source_row(read_trips(spark, args.area)))
+    write_parquet(rejected, args.out, partition_by=["reason"])
+    found = spark.read.parquet(args.out).groupBy("reason").count().orderBy("reason")
+    for row in found.collect():
+        print(f"{row['reason']}: {row['count']} trips")
+
+
+def _zone_history(spark: SparkSession, args: argparse.Namespace) -> None:
+    stored = Warehouse(spark, args.warehouse).require_loaded()
+    publish(marts.trips_per_pickup_version(stored), args.marts, "trips_per_pickup_version")
+    publish(marts.trips_per_dropoff_version(stored), args.marts, "trips_per_dropoff_version")
+
+
+def _vacuum(spark: SparkSession, args: argparse.Namespace) -> None:
+    deleted = vacuum(spark, args.warehouse, time.time() - args.older_than_hours * 3600)
+    print(f"{deleted} attempts deleted")
 
 
 def _init(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -114,6 +157,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--files", nargs="+", required=True, help="areas of any layouts")
     sub.add_argument("--fleet", choices=["yellow", "green"], default="yellow")
     sub.add_argument("--out", required=True)
+    sub.add_argument("--ledger", help="folder of the record of files done; those in it are skipped")
+    sub.add_argument("--year", type=parse_year, help="with a ledger, files of one year only")
+
+    sub = job("rejects", _rejects, "write the trips that loads leave out, by reason", "out")
+    sub.add_argument("--area", required=True, help="folder of raw trips")
+    sub.add_argument("--out", required=True)
 
     sub = job("init", _init, "build all tables from one year", "load", "years")
     sub.add_argument("--year", type=parse_year, required=True)
@@ -134,10 +183,13 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--files-per-batch", type=int)
 
     job("reports", _reports, "replace the eight report tables", "marts")
+    job("zone-history", _zone_history, "replace the tables of trips per zone version", "marts")
     job("clusters", _clusters, "replace the two zone cluster tables", "marts")
     job("correlation", _correlation, "replace the correlation table", "marts")
     sub = job("scores", _scores, "train the models and replace the score table", "marts")
     sub.add_argument("--year", type=parse_year)
+    sub = job("vacuum", _vacuum, "delete the files of attempts that died or were replaced")
+    sub.add_argument("--older-than-hours", type=float, default=168.0)
     return parser
 
 

@@ -1,6 +1,6 @@
 """Row filters of the load jobs."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.calendar import in_years
@@ -12,6 +12,29 @@ def complete_trips(trips: DataFrame) -> DataFrame:
     return trips.dropna(subset=RAW_TRIP.names)
 
 
+# Why a trip is not loaded, in the order in which it is asked.
+INCOMPLETE, NO_DISTANCE, NO_PASSENGERS = "incomplete", "no distance", "no passengers"
+
+
+def reject_reason() -> Column:
+    """Why ``valid_trips`` leaves a trip out; null for a trip that it keeps."""
+    missing = F.lit(False)
+    for field in RAW_TRIP:
+        missing |= F.col(field.name).isNull()
+        if field.dataType.typeName() == "double":
+            missing |= F.isnan(field.name)
+    return (
+        F.when(missing, INCOMPLETE)
+        .when(~(F.col("trip_distance") > 0), NO_DISTANCE)
+        .when(~(F.col("passenger_count") > 0), NO_PASSENGERS)
+    )
+
+
+def rejected_trips(trips: DataFrame) -> DataFrame:
+    """The trips that are not loaded, with all their columns and the reason."""
+    return trips.withColumn("reason", reject_reason()).filter(F.col("reason").isNotNull())
+
+
 def picked_up_in(trips: DataFrame, first: int, last: int | None = None) -> DataFrame:
     return trips.filter(in_years(F.col("tpep_pickup_datetime"), first, last))
 
