@@ -3,14 +3,19 @@
 import datetime
 import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_DIR
 from tripmart import schemas
+from tripmart.checks.oracles import ORACLES
+from tripmart.checks.queries import QUERIES
+from tripmart.jobs import run
 from tripmart.operators.changes import join_as_of, with_intervals
-from tripmart.operators.filters import valid_trips
+from tripmart.operators.filters import rejected_trips, valid_trips
 from tripmart.operators.sinks import write_parquet
-from tripmart.plans import commits, marts
+from tripmart.plans import commits, ledger, marts
 from tripmart.plans import warehouse as wh
 from tripmart.plans.pairs import PAIR, stored_pairs, with_stored_keys, write_pairs
 from tripmart.plans.warehouse import PICKUP, Warehouse, init_warehouse, load_batch, vacuum
@@ -251,3 +256,81 @@ def test_number_of_files_does_not_follow_tasks(spark, raw, zones, tasks, conf):
     files = built.fact_trip().inputFiles()
     years = built.fact_with_calendar().select("pick_year").distinct().count()
     assert len(files) == years
+
+
+def test_normalise_skips_what_the_ledger_has(spark, raw, capsys):
+    area, out, book = (new_folder(spark, name) for name in ("area", "out", "ledger"))
+    columns = schemas.RAW_TRIP.names
+
+    def land(month, name):
+        kept = raw.filter(F.date_format(PAIR[0], "yyyy-MM") == month).select(*columns)
+        write_parquet(kept, f"{area}/yellow_tripdata_{name}.parquet", files=1)
+        return kept.dropna().count()
+
+    def run_job(*more):
+        run(spark, ["normalise", "--files", area, "--out", out, "--ledger", book, *more])
+        return capsys.readouterr().out
+
+    rows = land("1996-01", "1996-01")
+    assert "1996-01: new" in run_job()
+    rows += land("1996-02", "1996-02")
+    said = run_job()
+    assert "1996-01: loaded" in said and "1996-02: new" in said
+    assert read_trips(spark, out).count() == rows
+    land("1996-03", "1996-02")  # the month comes again with other rows under its name
+    assert "1996-02" in (said := run_job("--year", "1996")) and "new" in said
+    before = read_trips(spark, out).count()
+    said = run_job()
+    assert "new" not in said and read_trips(spark, out).count() == before
+
+
+def test_a_file_that_came_again_is_told_apart(spark):
+    columns = "src_file string, bytes bigint, changed bigint, year int, month int, rows bigint"
+    first = [("a", 10, 1, 2020, 1, 5), ("b", 10, 1, 2020, 2, 5), ("c", 7, 1, None, None, 5)]
+    folder = new_folder(spark, "ledger")
+    assert ledger.read_ledger(spark, folder).count() == 0
+    ledger.enter(spark.createDataFrame(first, columns), folder)
+    ledger.enter(spark.createDataFrame([("b", 11, 2, 2020, 2, 6)], columns), folder)
+    landed = spark.createDataFrame(
+        [("a", 10, 1, 2020, 1, 5), ("b", 10, 1, 2020, 2, 5), ("b2", 10, 1, 2020, 2, 5), ("c", 7, 9, None, None, 5)],
+        columns,
+    )
+    found = ledger.judged(landed, ledger.read_ledger(spark, folder))
+    states = {r["src_file"]: r["state"] for r in found.collect()}
+    assert states == {"a": "loaded", "b": "redelivered", "b2": "new", "c": "redelivered"}
+    per_month = {(r["month"], r["state"]): r["rows"] for r in ledger.period_states(found).collect()}
+    assert per_month == {(1, "loaded"): 5, (2, "redelivered"): 5, (2, "new"): 5}
+
+
+def test_rejected_and_valid_trips_are_all_trips(spark, raw):
+    day = raw.limit(50).select(*schemas.RAW_TRIP.names)
+    bad = day.withColumns(
+        {"trip_distance": F.lit(float("nan")), "passenger_count": F.lit(None).cast("long")}
+    ).unionByName(day.withColumn("trip_distance", F.lit(-1.0)))
+    trips = raw.select(*schemas.RAW_TRIP.names).unionByName(bad)
+    assert rejected_trips(trips).count() + valid_trips(trips).count() == trips.count()
+    reasons = {r["reason"] for r in rejected_trips(trips).select("reason").distinct().collect()}
+    assert reasons == {"incomplete", "no distance", "no passengers"}
+
+
+def test_trips_of_any_year_are_loaded(spark, tmp_path):
+    """Orders of years before and after those of the test tables; the five queries equal their SQL."""
+    folder = str(tmp_path)
+    for name in ("region", "nation", "customer", "supplier", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF_DIR}/{name}.parquet")
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    moved = F.when(F.col("o_orderkey") % 97 == 0, F.col("o_orderdate") - F.expr("interval 9 years")).when(
+        F.col("o_orderkey") % 89 == 0, F.col("o_orderdate") + F.expr("interval 11 years")
+    )
+    orders.withColumn("o_orderdate", F.coalesce(moved, "o_orderdate")).coalesce(1).write.parquet(
+        f"{folder}/orders.parquet"
+    )
+    duck = duckdb.connect()
+    for name in ("region", "nation", "customer", "supplier", "lineitem"):
+        duck.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
+    duck.execute(f"create view orders as select * from '{folder}/orders.parquet/*.parquet'")
+    for name in ("surrogate_key", "surrogate_key_next", "dim_new_rows", "warehouse_batch", "warehouse_backfill"):
+        found = QUERIES[name](spark, folder)
+        want = duck.sql(ORACLES[name]).to_arrow_table().select(found.columns).to_pylist()
+        got = found.toArrow().to_pylist()
+        assert sorted(map(repr, got)) == sorted(map(repr, want)), name
