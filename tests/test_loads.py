@@ -2,6 +2,7 @@
 
 import datetime
 import time
+from functools import partial
 
 import duckdb
 import pytest
@@ -14,6 +15,7 @@ from tripmart.checks.queries import QUERIES
 from tripmart.jobs import run
 from tripmart.operators.changes import join_as_of, with_intervals
 from tripmart.operators.filters import rejected_trips, valid_trips
+from tripmart.operators.joins import hot_keys
 from tripmart.operators.sinks import write_parquet
 from tripmart.plans import commits, ledger, marts
 from tripmart.plans import warehouse as wh
@@ -334,3 +336,27 @@ def test_trips_of_any_year_are_loaded(spark, tmp_path):
         want = duck.sql(ORACLES[name]).to_arrow_table().select(found.columns).to_pylist()
         got = found.toArrow().to_pylist()
         assert sorted(map(repr, got)) == sorted(map(repr, want)), name
+
+
+def test_a_pair_that_is_hot_in_no_load_is_split_over_all(spark, raw, zones, conf, monkeypatch):
+    """A pair stays just below the limit of every load; over all loads it is far above."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    trips = valid_trips(raw).select(*schemas.RAW_TRIP.names)
+    first = trips.orderBy(*schemas.RAW_TRIP.names).first()
+    same = {name: F.lit(str(first[name])).cast("timestamp_ntz") for name in PAIR}
+    monkeypatch.setattr(wh, "hot_keys", partial(hot_keys, parts=10_000, min_rows=40))
+    root = new_folder(spark, "warehouse")
+    for load in range(4):
+        path = new_folder(spark, "delivery")
+        others = trips.filter(F.month(PAIR[0]) == load + 2)
+        write_parquet(trips.limit(39).withColumns(same).unionByName(others), path, files=1)
+        stored = load_batch(with_source_row(read_trips(spark, path)), zones, root, load)
+        assert stored.hot_pairs().isEmpty() == (load == 0)
+    hot = stored.hot_pairs().collect()
+    assert [row["trips"] for row in hot] == [4 * 39] and hot[0]["salts"] == 4
+    joined = stored.facts_with_dates()
+    assert joined.count() == stored.fact_trip().count()
+    assert "salt" in joined._jdf.queryExecution().executedPlan().toString()
+    spread = stored.fact_trip().filter(F.col("datetimestamp_id") == hot[0]["datetime_id"])
+    largest = spread.groupBy(F.pmod(F.xxhash64("trip_id"), F.lit(4))).count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 40

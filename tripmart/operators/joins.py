@@ -25,15 +25,22 @@ def hot_keys(
     rows: str,
     parts: int = PARTS,
     min_rows: int = MIN_HOT_ROWS,
+    total: int | None = None,
+    finer: int = 1,
 ) -> DataFrame:
     """The hot keys of a frame of keys and row counts, and the ``salts`` each is split into.
 
-    No split of a hot key holds more rows than a key that just is not hot.
+    No split of a hot key holds more rows than a key that just is not hot. ``total`` is the
+    number of all rows where ``counted`` lacks some keys. With ``finer`` keys of a so much
+    smaller share are found too: kept for every load, they make a summary that can be added up. A key
+    that none of the loads kept has at most that share of their total, so one that is hot
+    over all loads by this margin is found, even where it is hot in none.
     """
-    total, largest = counted.agg(F.sum(rows), F.max(rows)).first()
-    limit = max((total or 0) // parts, min_rows)
+    found, largest = counted.agg(F.sum(rows), F.max(rows)).first()
+    total = (found or 0) if total is None else total
+    limit = max(max(total // parts, min_rows) // finer, 1)
     salts = F.ceil(F.col(rows) / limit).cast("int").alias("salts")
-    hot = counted.filter(F.col(rows) > limit).select(*keys, salts)
+    hot = counted.filter(F.col(rows) > limit).select(*keys, rows, salts)
     return hot if (largest or 0) > limit else hot.limit(0)
 
 

@@ -22,7 +22,7 @@ from tripmart.storage import create_once, folders_below, read_or_empty, remove_f
 COMMIT = schemas.struct(
     "version bigint, load_id bigint, attempt string, reset boolean, next_trip_id bigint, "
     "next_datetime_id bigint, source string, batch bigint, first_month int, last_month int, "
-    "has_hot_pairs boolean, pair_buckets int"
+    "has_hot_pairs boolean, pair_buckets int, trips bigint"
 )
 
 
@@ -40,6 +40,7 @@ class Commit:
     last_month: int | None
     has_hot_pairs: bool
     pair_buckets: int
+    trips: int
 
 
 class ConcurrentLoad(RuntimeError):

@@ -34,11 +34,13 @@ FACT_CALENDAR = schemas.struct(
     "pick_year int, pick_date date, pick_hour double, pick_weekday_id int, drop_hour double, "
     "drop_weekday_id int"
 )
-# Pairs that hold a large share of a load's trips, and into how many parts joins split them.
+# Pairs with a share of a load's trips worth adding up over loads, and how many trips they have.
 HOT_PAIRS = schemas.struct(
     "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
-    "datetime_id bigint, salts int"
+    "datetime_id bigint, trips bigint"
 )
+# A load keeps pairs of this part of the share from which on a pair is hot.
+KEPT_PART = 10
 
 
 @dataclass(frozen=True, eq=False)
@@ -151,8 +153,14 @@ class Warehouse:
         return self.history(DATETIME).drop(LOAD_ID)
 
     def hot_pairs(self) -> DataFrame:
-        """The hot pairs of all loads, each with the sum of its parts."""
-        return self.history(HOT).groupBy(*PAIR, "datetime_id").agg(F.sum("salts").alias("salts"))
+        """The pairs that are hot over all loads, with the parts that joins split them into.
+
+        Each load keeps its frequent pairs; their sums tell which are hot by now, those included
+        that were hot in no load.
+        """
+        keys = [*PAIR, "datetime_id"]
+        counted = self.history(HOT).groupBy(*keys).agg(F.sum("trips").alias("trips"))
+        return hot_keys(counted, keys, "trips", total=sum(load.trips for load in self.loads))
 
     def facts_with_dates(self) -> DataFrame:
         """Facts joined with the datetime dimension on its key."""
@@ -347,10 +355,13 @@ class _Load:
         own = self.stored(PAIRS)
         dates = own if known is None else own.unionByName(known.select(*KEYED_PAIR.names))
 
-        hot = hot_keys(keyed if pairs is None else pairs, PAIR, "trips")
-        has_hot = not hot.isEmpty()
+        counted = keyed if pairs is None else pairs
+        trips = counted.agg(F.coalesce(F.sum("trips"), F.lit(0))).first()[0]
+        hot = hot_keys(counted, PAIR, "trips", total=trips)
+        frequent = hot_keys(counted, PAIR, "trips", total=trips, finer=KEPT_PART)
+        has_hot = not frequent.isEmpty()
         if has_hot:
-            self.store(dates.join(F.broadcast(hot), PAIR).select(*HOT.schema.names), HOT)
+            self.store(dates.join(F.broadcast(frequent), PAIR).select(*HOT.schema.names), HOT)
 
         numbered, next_trip = number_rows(
             valid, self.trips, "trip_id", next_trip, f"{self.staging}/files"
@@ -372,7 +383,7 @@ class _Load:
         first_month, last_month = month_span(own)
         commit = Commit(
             self.version, self.load_id, self.attempt, self.reset, next_trip, next_datetime,
-            source, batch, first_month, last_month, has_hot, buckets,
+            source, batch, first_month, last_month, has_hot, buckets, trips,
         )
         try:
             commits.publish_commit(self.spark, self.root, commit)
