@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripmart.llm import attention, bpe, language, lines, minhash, packing, spans
+from tripmart.llm import attention, bpe, language, lines, minhash, nndescent, packing, spans
 from tripmart.storage import new_folder
 
 
@@ -168,3 +168,25 @@ def test_attention_learns_from_a_share_that_grows(spark, monkeypatch):
     one, two = attention.fit(docs.repartition(2), ranks), attention.fit(docs.repartition(7), ranks)
     assert all((x == y).all() for x, y in zip(one.arrays(), two.arrays()))
     assert any((x != y).any() for x, y in zip(one.arrays(), attention.Weights.initial().arrays()))
+
+
+def test_every_room_has_trees_of_its_own_depth(spark, monkeypatch):
+    monkeypatch.setattr(nndescent, "LEAF", 2)
+    seen = []
+    grown = nndescent._grown
+    monkeypatch.setattr(nndescent, "_grown", lambda sized, trees: seen.append(sized) or grown(sized, trees))
+    own = np.random.default_rng(2)
+    rows = [(i, own.standard_normal(4).tolist(), i // 8) for i in range(1200 * 8)]
+    rows += [(10**6 + i, own.standard_normal(4).tolist(), 10**6) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").repartition(4)
+    values = np.array([row[1] for row in rows])
+    values /= np.linalg.norm(values, axis=1)[:, None]
+    found = {row["vec_id"]: row["n_links"] for row in nndescent.near_duplicates(df).collect()}
+    depths = Counter(row["depth"] for row in seen[0].select("room", "depth").distinct().collect())
+    assert depths == {3: 1200, 1: 1}
+    want = 0
+    for room in range(1200):
+        cos = values[room * 8 : room * 8 + 8] @ values[room * 8 : room * 8 + 8].T
+        want += int((cos >= nndescent.THRESHOLD).sum()) - 8
+    links = sum(n for key, n in found.items() if key < 10**6)
+    assert len(found) == len(rows) and 0.97 * want <= links <= want

@@ -95,18 +95,19 @@ def _to_binary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _planted(
-    batches: Iterator[pa.RecordBatch], trees: range, bits: dict[int, int]
-) -> Iterator[pa.RecordBatch]:
-    """(cls, room, tree, leaf, vector) for each tree: the sides of its hyperplanes."""
+def _planted(batches: Iterator[pa.RecordBatch], trees: range) -> Iterator[pa.RecordBatch]:
+    """(cls, room, tree, leaf, vector) for each tree: the sides of its hyperplanes.
+
+    Rows are (cls, room, vector, depth).
+    """
     for batch in batches:
-        rooms = batch.column(1).to_numpy()
+        depths = batch.column(3).to_numpy()
         vectors = batch.column(2).to_pylist()
         for length in {len(x) for x in vectors}:
             rows = np.array([i for i, x in enumerate(vectors) if len(x) == length])
             values = np.frombuffer(b"".join(vectors[i] for i in rows), np.float32)
             values = values.reshape(len(rows), -1)
-            depth = np.array([bits.get(int(room), 0) for room in rooms[rows]])
+            depth = depths[rows]
             taken = pa.array(rows)
             for tree in trees:
                 random = np.random.default_rng((tree, values.shape[1]))
@@ -225,11 +226,11 @@ def _refined(lists: DataFrame, vectors: DataFrame, threshold: float) -> tuple[Da
     return following, new, total
 
 
-def _grown(vectors: DataFrame, trees: range, bits: dict[int, int]) -> DataFrame:
+def _grown(vectors: DataFrame, trees: range) -> DataFrame:
     """Pairs (src, dst, cos) near each other in a leaf of one of the trees."""
     spark = vectors.sparkSession
     planted = vectors.mapInArrow(
-        partial(_planted, trees=trees, bits=bits),
+        partial(_planted, trees=trees),
         "cls bigint, room bigint, tree int, leaf bigint, vector binary",
     )
     leaf = ["room", "tree", "leaf"]
@@ -441,12 +442,11 @@ def neighbour_lists(vectors: DataFrame, threshold: float, trees: range, lists: D
 
     ``lists`` are those of earlier trees to go on from.
     """
-    rooms = vectors.groupBy("room").agg(F.count("*").alias("n"))
-    # Depths differ from that of the largest room for rooms of few vectors only: the driver
-    # asks for the largest thousand, and smaller rooms are one leaf each or dealt out.
-    largest = rooms.orderBy(F.desc("n"), "room").limit(1000).collect()
-    bits = {row["room"]: max(0, (row["n"] // LEAF).bit_length()) for row in largest}
-    pairs = _grown(vectors, trees, bits).withColumn("fresh", F.lit(True))
+    leaves = F.expr(f"count(*) div {LEAF}")
+    depth = F.when(leaves > 0, F.length(F.bin(leaves))).otherwise(0).cast("long")
+    rooms = vectors.groupBy("room").agg(depth.alias("depth"))
+    sized = vectors.join(rooms, "room").select("cls", "room", "vector", "depth")
+    pairs = _grown(sized, trees).withColumn("fresh", F.lit(True))
     if lists is not None:
         pairs = pairs.union(lists.withColumn("fresh", F.lit(False)))
         pairs = pairs.groupBy("src", "dst").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh"))
