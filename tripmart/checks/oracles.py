@@ -336,6 +336,14 @@ _SELECTS = {
     "ml_split": """
         select trip_id, substr(md5(cast(trip_id as varchar)), 1, 2) < 'cc' as training from fact""",
     "regression_metrics": _metrics("fare only", "fare_amount"),
+    "kmeans_pickup_certificate": f"select PULocationID, true as nearest from ({_location('PULocationID')})",
+    "kmeans_dropoff_certificate": f"select DOLocationID, true as nearest from ({_location('DOLocationID')})",
+    "linear_certificate": " union all ".join(
+        f"select '{name}' as feature, count(*) > 0 as optimal from fact" for name in FEATURES
+    ),
+    "tree_certificate": """
+        select 'Decision Tree' as name, true as leaves_are_means, cast(count(*) as bigint) as rows
+        from fact where substr(md5(cast(trip_id as varchar)), 1, 2) < 'cc'""",
 }
 _SELECTS["mart_publish"] = _SELECTS["trips_per_hour"]
 _SELECTS["scd_upsert"] = _SELECTS["scd_type1"]

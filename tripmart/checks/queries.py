@@ -827,3 +827,23 @@ def model_evaluation(spark, sf_dir):
     area = new_folder(spark, "scores")
     models.publish_scores(_vectors(spark, sf_dir), area)
     return sinks.read_published(spark, area, "model_evaluation")
+
+
+@_register
+def kmeans_pickup_certificate(spark, sf_dir):
+    return models.cluster_certificate(kmeans_pickup(spark, sf_dir))
+
+
+@_register
+def kmeans_dropoff_certificate(spark, sf_dir):
+    return models.cluster_certificate(kmeans_dropoff(spark, sf_dir))
+
+
+@_register
+def linear_certificate(spark, sf_dir):
+    return models.linear_certificate(_vectors(spark, sf_dir))
+
+
+@_register
+def tree_certificate(spark, sf_dir):
+    return models.tree_certificate(_vectors(spark, sf_dir))

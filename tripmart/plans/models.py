@@ -136,6 +136,66 @@ def fit_forest(train: DataFrame) -> Model:
     return forest.fit(train)
 
 
+def cluster_certificate(clustered: DataFrame) -> DataFrame:
+    """Whether each zone of ``cluster_zones`` lies nearest to the centre of its own cluster.
+
+    Centres are the means of the standardised coordinates of their members; there are CLUSTERS at most.
+    """
+    key, *axes = clustered.columns[:3]
+    row = clustered.agg(*(f(a).alias(f"{f.__name__}_{a}") for a in axes for f in (F.avg, F.stddev_samp))).first()
+    scaled = clustered.withColumns(
+        {a: (F.col(a) - row[f"avg_{a}"]) / row[f"stddev_samp_{a}"] for a in axes}
+    )
+    centres = scaled.groupBy("cluster").agg(*(F.avg(a).alias(a) for a in axes)).collect()
+
+    def distance(centre) -> Column:
+        return sum(((F.col(a) - centre[a]) ** 2 for a in axes), F.lit(0.0))
+
+    own = F.lit(None).cast("double")
+    for centre in centres:
+        own = F.when(F.col("cluster") == centre["cluster"], distance(centre)).otherwise(own)
+    nearest = F.array_min(F.array(*(distance(centre) for centre in centres)))
+    return scaled.select(key, (own <= nearest + 1e-9).alias("nearest"))
+
+
+def linear_certificate(features: DataFrame) -> DataFrame:
+    """Whether the linear model meets the normal equation of each feature on its training rows.
+
+    At the least penalised squares the covariance of a feature with the error equals the
+    penalty's slope; both are compared as a share of the spreads of feature and label.
+    """
+    train, _ = split(features)
+    model = fit_linear(train)
+    error = F.col(LABEL) - F.col("prediction")
+    spread = F.stddev_pop(LABEL)
+    sums = [
+        ((F.covar_pop(name, error) - REG_PARAM / spread * float(slope) * F.var_pop(name))
+         / F.greatest(F.stddev_pop(name) * spread, F.lit(1e-12))).alias(name)
+        for name, slope in zip(FEATURES, model.coefficients)
+    ]
+    row = model.transform(train).agg(*sums)
+    return row.unpivot([], FEATURES, "feature", "rest").select(
+        "feature", (F.abs("rest") < 1e-6).alias("optimal")
+    )
+
+
+def tree_certificate(features: DataFrame) -> DataFrame:
+    """Whether the tree predicts the mean of each leaf's training rows, and how many rows those are.
+
+    Rows of a leaf have one prediction; leaves that predict the same have the same mean.
+    """
+    train, _ = split(features)
+    leaves = fit_tree(train).transform(train).groupBy("prediction").agg(
+        F.avg(LABEL).alias("mean"), F.count("*").alias("rows")
+    )
+    off = F.abs(F.col("mean") - F.col("prediction")) / F.greatest(F.abs("mean"), F.lit(1.0))
+    return leaves.agg(
+        F.lit("Decision Tree").alias("name"),
+        (F.max(off) < 1e-9).alias("leaves_are_means"),
+        F.sum("rows").alias("rows"),
+    )
+
+
 # Names of the models in the score table.
 MODELS = {
     "Linear Regression": fit_linear,
