@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_its_sql(spark, name):
     found = queries.QUERIES[name](spark, SF).toArrow()
     connection = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         connection.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     want = connection.sql(queries.ORACLES[name]).to_arrow_table()
     columns = sorted(want.column_names)
