@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from tripmart.checks.fixtures import land_green, land_mixed_layouts
 from tripmart.operators.filters import complete_trips
 from tripmart.schemas import GREEN_RENAMES, RAW_TRIP, ZONE_LOOKUP, check_contract
-from tripmart.sources.normalise import after_year, new_periods, read_files, with_period
+from tripmart.sources import normalise
+from tripmart.sources.normalise import after_year, file_layouts, new_periods, read_files, with_period
 from tripmart.sources.trips import batch_path, parse_year, read_zones
 from tripmart.storage import new_folder
 
@@ -55,6 +56,29 @@ def test_layouts_may_differ_within_an_area(spark, trips, rows):
     assert rows(read_files(spark, [area])) == rows(complete_trips(trips))
 
 
+def test_layouts_are_read_by_tasks(spark, trips):
+    area = new_folder(spark, "an area")
+    trips.limit(5).repartition(2).write.parquet(f"{area}/one month")
+    cast = trips.limit(5).withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    cast.coalesce(1).write.parquet(f"{area}/another")
+    spark.createDataFrame([("no parquet",)], "line string").coalesce(1).write.text(f"{area}/notes")
+    found = file_layouts(spark, [area]).collect()
+    assert all(row["path"].startswith("file:") for row in found)
+    layouts = [row["layout"] for row in found]
+    assert len(layouts) == 4 and layouts.count(None) == 1
+    named = {x for x in layouts if x is not None}
+    assert len(named) == 2
+    assert sum("passenger_count DOUBLE" in x for x in named) == 1
+
+
+def test_layouts_unknown_to_tasks_are_looked_up_by_spark(spark, trips, rows, monkeypatch):
+    areas = land_mixed_layouts(spark, trips)
+    wanted = rows(read_files(spark, areas))
+    listed = file_layouts(spark, areas).withColumn("layout", F.lit(None).cast("string"))
+    monkeypatch.setattr(normalise, "file_layouts", lambda spark, paths: listed)
+    assert rows(read_files(spark, areas)) == wanted
+
+
 def test_a_file_without_a_column_raises(spark, trips):
     area = new_folder(spark, "area")
     trips.write.parquet(area)

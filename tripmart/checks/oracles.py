@@ -6,7 +6,7 @@ The SQL reads only the driver's tables and derives trips, zones, keys and facts
 from tripmart import schemas
 from tripmart.checks.fixtures import RAW_SQL, TRIP_ORDER, ZONES_SQL
 from tripmart.checks.queries import SPLIT_YEAR
-from tripmart.plans.models import FEATURES, LABEL
+from tripmart.plans.models import FEATURES, FOREST_TREES, LABEL, MODELS
 
 _MINUTES = "o_orderdate + to_minutes(cast({} as bigint))"
 _RAW = (
@@ -344,6 +344,15 @@ _SELECTS = {
     "tree_certificate": """
         select 'Decision Tree' as name, true as leaves_are_means, cast(count(*) as bigint) as rows
         from fact where substr(md5(cast(trip_id as varchar)), 1, 2) < 'cc'""",
+    "forest_certificate": f"""
+        select 'Random Forest' as name, {FOREST_TREES} as trees, true as mean_of_trees,
+               true as within_labels, cast(count(*) as bigint) as rows
+        from fact where substr(md5(cast(trip_id as varchar)), 1, 2) >= 'cc'""",
+    "evaluation_certificate": f"""
+        select name, rows, label_spread, true as r2_agrees, true as mae_below_rmse, true as better_than_mean
+        from (select cast(count(*) as bigint) as rows, round(stddev_pop({LABEL}), 4) as label_spread
+              from fact where substr(md5(cast(trip_id as varchar)), 1, 2) >= 'cc')
+        cross join (values {", ".join(f"('{name}')" for name in MODELS)}) as models(name)""",
 }
 _SELECTS["mart_publish"] = _SELECTS["trips_per_hour"]
 _SELECTS["scd_upsert"] = _SELECTS["scd_type1"]

@@ -847,3 +847,13 @@ def linear_certificate(spark, sf_dir):
 @_register
 def tree_certificate(spark, sf_dir):
     return models.tree_certificate(_vectors(spark, sf_dir))
+
+
+@_register
+def forest_certificate(spark, sf_dir):
+    return models.forest_certificate(_vectors(spark, sf_dir))
+
+
+@_register
+def evaluation_certificate(spark, sf_dir):
+    return models.evaluation_certificate(_vectors(spark, sf_dir), model_evaluation(spark, sf_dir))

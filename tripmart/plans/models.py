@@ -196,6 +196,51 @@ def tree_certificate(features: DataFrame) -> DataFrame:
     )
 
 
+def forest_certificate(features: DataFrame) -> DataFrame:
+    """Whether the forest predicts the mean of its trees on every test row, and how many rows those are.
+
+    Every tree predicts every row in the same pass. What a tree predicts is a mean of training
+    labels, so it lies between the least and the largest of them.
+    """
+    train, test = split(features)
+    model = fit_forest(train)
+    low, high = train.agg(F.min(LABEL), F.max(LABEL)).first()
+    predicted = model.transform(test)
+    names = [f"tree_{number}" for number in range(len(model.trees))]
+    for name, tree in zip(names, model.trees):
+        predicted = tree.setPredictionCol(name).transform(predicted)
+    trees = F.array(*names)
+    mean = F.aggregate(trees, F.lit(0.0), lambda total, one: total + one) / len(names)
+    off = F.abs(F.col("prediction") - mean) / F.greatest(F.abs(mean), F.lit(1.0))
+    inside = (F.array_min(trees) >= low - 1e-9) & (F.array_max(trees) <= high + 1e-9)
+    return predicted.agg(
+        F.lit("Random Forest").alias("name"),
+        F.lit(len(names)).alias("trees"),
+        F.bool_and(off < 1e-9).alias("mean_of_trees"),
+        F.bool_and(inside).alias("within_labels"),
+        F.count("*").alias("rows"),
+    )
+
+
+def evaluation_certificate(features: DataFrame, scores: DataFrame) -> DataFrame:
+    """Whether the scores of each model are of the test rows and agree with each other.
+
+    The mean square error is the share of the label's variance that R2 leaves over, and the mean
+    absolute error is never above its root. ``label_spread`` is the deviation of the test rows' labels.
+    """
+    _, test = split(features)
+    variance, rows = test.agg(F.var_pop(LABEL), F.count("*")).first()
+    left = (1 - F.col("r2")) * variance
+    return scores.select(
+        "name",
+        F.lit(rows).cast("long").alias("rows"),
+        F.round(F.sqrt(F.lit(variance)), 4).alias("label_spread"),
+        (F.abs(F.col("rmse") * F.col("rmse") - left) <= 1e-9 * variance).alias("r2_agrees"),
+        (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse"),
+        (F.col("r2") > 0).alias("better_than_mean"),
+    )
+
+
 # Names of the models in the score table.
 MODELS = {
     "Linear Regression": fit_linear,

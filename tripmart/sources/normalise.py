@@ -1,10 +1,12 @@
 """Bring monthly files of differing layout to the raw trip contract."""
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import urlsplit
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,6 @@ from tripmart.sources.trips import SOURCE_FILE
 PERIOD_PATTERN = r"_tripdata_(\d{4})-(\d{2})"
 # Fixed value: releases up to this year have no zone ids.
 LAST_YEAR_WITHOUT_ZONES = 2010
-FOOTERS_AT_ONCE = 16
 
 
 def keep_contract_columns(df: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def read_files(
     """Trips of several areas in one frame, each file read with the types it has.
 
     A long schema cannot read a double file, and a column of another name would read as
-    null, so each file's layout is looked up in its footer. Files of equal layout share one
+    null, so tasks look up each file's layout in its footer. Files of equal layout share one
     scan, which keeps the plan as small as the number of layouts. A layout without a column
     of the contract raises.
     """
@@ -49,18 +50,48 @@ def read_files(
     return reduce(DataFrame.unionByName, frames)
 
 
+def file_layouts(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(path, layout): the columns and types in the footer of every file of some areas.
+
+    Tasks read the footers, and no other part of a file. The layout is null where they cannot: a
+    file system that only Spark knows, or a file that is no parquet.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            layouts = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    where = urlsplit(path)
+                    system, name = (
+                        (fs.LocalFileSystem(), path.removeprefix("file:"))
+                        if where.scheme in ("", "file")
+                        else fs.FileSystem.from_uri(path)
+                    )
+                    with system.open_input_file(name) as file:
+                        columns = pq.ParquetFile(file).schema
+                        found = [columns.column(i) for i in range(len(columns))]
+                    layouts.append("; ".join(f"{c.path} {c.physical_type} {c.logical_type}" for c in found))
+                except (pa.ArrowException, OSError, ValueError):
+                    layouts.append(None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(layouts, pa.string())], names=["path", "layout"]
+            )
+
+    return files.select("path").mapInArrow(footers, "path string, layout string")
+
+
 def _files_by_layout(spark: SparkSession, paths: Iterable[str]) -> dict[str, list[str]]:
-    """The files of all areas by their schema. Footers are read side by side."""
-    areas = [spark.read.option("recursiveFileLookup", True).parquet(path) for path in paths]
-    files = sorted(unquote(name) for area in areas for name in area.inputFiles())
-    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as readers:
-        layouts = readers.map(
-            lambda name: spark.read.option("recursiveFileLookup", True).parquet(name).schema.json(),
-            files,
-        )
-        by_layout: dict[str, list[str]] = {}
-        for layout, name in zip(layouts, files):
-            by_layout.setdefault(layout, []).append(name)
+    """The files of all areas by their layout; Spark looks up those that tasks cannot open."""
+    by_layout: dict[str, list[str]] = {}
+    paths = list(paths)
+    if not paths:
+        return by_layout
+    for name, layout in file_layouts(spark, paths).orderBy("path").toLocalIterator():
+        if layout is None:
+            layout = spark.read.parquet(name).schema.json()
+        by_layout.setdefault(layout, []).append(name)
     return by_layout
 
 
