@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tripmart import schemas
+from tripmart.checks import fixtures
 from tripmart.checks.queries import QUERIES
 from tripmart.operators.filters import paid, picked_up_in, valid_trips
 from tripmart.operators.joins import hot_keys
@@ -101,3 +102,25 @@ def test_no_query_plans_a_cross_product_of_tables(spark, plan):
         text = plan(QUERIES[name](spark, SF_DIR))
         assert "CartesianProduct" not in text
         assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_landed_items_move_once_by_order_and_once_by_time(spark, conf, plan):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    joined = fixtures.joined_rows(spark, SF_DIR)
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 4 and "SortMergeJoin [l_" not in text
+    moved = joined.repartitionByRange(*map(F.expr, fixtures.JOINED_ORDER))
+    assert len(moved.columns) == 12 and "m" not in moved.columns
+    text = fixtures.measured(moved)._jdf.queryExecution().executedPlan().toString()
+    assert "total_amount" not in text[text.index("rangepartitioning") :]
+
+
+def test_landed_trips_are_those_of_the_sql(spark, rows, raw):
+    tables = {n: spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("lineitem", "orders", "customer", "supplier")}
+    text = fixtures.RAW_SQL.replace("{pickup}", fixtures.PICKUP.format(m="m"))
+    text = text.replace("{dropoff}", fixtures.DROPOFF.format(m="m"))
+    assert rows(raw.drop("src_file", "src_row")) == rows(spark.sql(text, **tables))
+    ordered = raw.orderBy("src_file", "src_row").select(*fixtures.TRIP_ORDER).collect()
+    assert [tuple((x is not None, x) for x in row) for row in ordered] == sorted(
+        tuple((x is not None, x) for x in row) for row in ordered
+    )
