@@ -5,6 +5,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,38 @@ def test_attention_learns_from_a_share_that_grows(spark, monkeypatch):
     assert any((x != y).any() for x, y in zip(one.arrays(), attention.Weights.initial().arrays()))
 
 
+def test_attention_learns_from_every_training_text(spark, monkeypatch):
+    monkeypatch.setattr(attention, "PART_BYTES", 20_000)
+    ranks = {bytes((i,)): i for i in range(256)}
+    seen = spark.sparkContext.accumulator(0)
+    train = attention.train
+
+    def counted(texts, *rest):
+        seen.add(sum(map(len, texts)))
+        return train(texts, *rest)
+
+    monkeypatch.setattr(attention, "train", counted)
+    rows = [(i, _words(i, 10)) for i in range(3000)] + [(5000 + i, "hot") for i in range(500)] + [(None, None)]
+    attention.fit(_held(spark, rows), ranks)
+    subwords = attention.Subwords(ranks)
+    ids = sum(len(subwords[word]) // 2 for _, text in rows for word in [*attention.words_of(text), b""])
+    assert seen.value == ids
+
+
+def test_shingle_sets_are_sent_on_in_bounded_batches():
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(4000)]
+    digests = [minhash.set_digest(minhash.shingles(text, minhash.WordHashes())) for text in texts]
+    digests[7] = digests[6]
+    names = ["doc_id", "text", "digest"]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(digests)], names=names)
+    ]
+    found = list(minhash._sets(iter(batches)))
+    assert [d for batch in found for d in batch.column(0).to_pylist()] == digests[:7] + digests[8:]
+    assert max(batch.nbytes for batch in found) < 5 << 20 and len(found) > 2
+    assert [batch.num_rows for batch in minhash._sets(iter(batches[:0]))] == [0]
+
+
 def test_every_room_has_trees_of_its_own_depth(spark, monkeypatch):
     monkeypatch.setattr(nndescent, "LEAF", 2)
     seen = []
