@@ -33,7 +33,9 @@ THRESHOLD_PERCENT = 80
 # Longs of a parity bitmap, with 64 bits each.
 BITMAP_LONGS = 8
 # Words whose hash a worker remembers.
-MAX_REMEMBERED = 400_000
+MAX_REMEMBERED = 200_000
+# Shingles that a worker sends on in one batch, about.
+BATCH_SHINGLES = 1 << 19
 
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -148,18 +150,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     hashes = process_cache("word hashes", WordHashes)
     last = None
-    for batch in batches:
-        digests, sets = [], []
-        for value, wanted in zip(batch.column(1), batch.column(2).to_pylist()):
-            own = shingles(value.as_py(), hashes)
-            if wanted == last or set_digest(own) != wanted:
-                continue
-            last = wanted
-            digests.append(wanted)
-            sets.append(own.view(np.int64))
+    digests, sets, waiting = [], [], 0
+
+    def made() -> pa.RecordBatch:
         ends = np.cumsum([0, *map(len, sets)])
         values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array(digests, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)),
@@ -167,6 +163,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["digest", "hashes"],
         )
 
+    for batch in batches:
+        for value, found in zip(batch.column(1), batch.column(2)):
+            wanted = found.as_py()
+            if wanted == last:
+                continue
+            own = shingles(value.as_py(), hashes)
+            if set_digest(own) != wanted:
+                continue
+            last = wanted
+            digests.append(wanted)
+            sets.append(own.view(np.int64))
+            waiting += len(own)
+            if waiting >= BATCH_SHINGLES:
+                yield made()
+                digests, sets, waiting = [], [], 0
+    yield made()
+
 
 def _in_buckets(classes: DataFrame) -> DataFrame:
     """(bucket, digest, n, size) of the classes in buckets of two or more."""
