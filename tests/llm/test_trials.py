@@ -173,6 +173,7 @@ def test_attention_learns_from_a_share_that_grows(spark, monkeypatch):
 
 def test_attention_learns_from_every_training_text(spark, monkeypatch):
     monkeypatch.setattr(attention, "PART_BYTES", 20_000)
+    monkeypatch.setattr(attention, "FEW_BYTES", 1_000)
     ranks = {bytes((i,)): i for i in range(256)}
     seen = spark.sparkContext.accumulator(0)
     train = attention.train
