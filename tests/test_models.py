@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tripmart.plans import models
@@ -79,6 +80,26 @@ def test_forest_is_repeatable(vectors):
     assert first["rmse"] == pytest.approx(second["rmse"], rel=1e-9)
 
 
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
+    made = spark.range(3000).selectExpr(
+        "id as trip_id",
+        f"cast((id * 37) % 101 + (id * 53) % 7 * 20 as double) as {models.LABEL}",
+        *(f"cast((id * {7 + 2 * n}) % {11 + n} as double) as {name}" for n, name in enumerate(models.FEATURES)),
+    )
+    train = models.assemble(made, models.FEATURES)
+    kept = models.fit_forest(train)
+    assert kept.getCacheNodeIds()
+    walked = RandomForestRegressor(
+        featuresCol="features", labelCol=models.LABEL, numTrees=models.FOREST_TREES,
+        maxDepth=models.FOREST_DEPTH, seed=models.SEED,
+    ).fit(train)
+
+    def trees(model):
+        return [tree.toDebugString.split("\n", 1)[1] for tree in model.trees]
+
+    assert trees(kept) == trees(walked)
+
+
 def test_correlations_agree(warehouse):
     facts = models.trip_features(warehouse)
     matrix = {(r["feature"], r["other"]): r["corr"] for r in models.correlation_matrix(facts).collect()}
