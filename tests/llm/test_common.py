@@ -1,0 +1,64 @@
+"""What the corpus operators share: stored frames and the memory of Python workers."""
+
+import sys
+
+import pyarrow as pa
+import pytest
+
+from tripmart.llm import common
+
+
+def _shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for name in blocks.mkString(",").split(",") if name.startswith("shuffle_")}
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    counted = spark.range(5000).selectExpr("id % 97 as a", "id").groupBy("a").count()
+    stored = common.stored(counted, "counted")
+    assert not _shuffle_files(spark) - before
+    assert sorted(stored.collect()) == sorted(counted.collect())
+    assert spark.conf.get(common.CLEANUP) == "false"
+
+
+def test_stored_keeps_the_setting_of_the_session(spark, conf):
+    conf(**{common.CLEANUP.replace(".", "__"): "true"})
+    common.stored(spark.range(3), "three")
+    assert spark.conf.get(common.CLEANUP) == "true"
+    with pytest.raises(Exception):
+        common.stored(spark.sql("select raise_error('no') as a"), "failed")
+    assert spark.conf.get(common.CLEANUP) == "true"
+
+
+def test_released_tasks_drop_what_other_stages_keep():
+    batch = pa.RecordBatch.from_pydict({"a": [1, 2]})
+    common.process_cache("one", lambda: [1])
+
+    def tasks(batches):
+        for each in batches:
+            yield each
+
+    assert [x.to_pydict() for x in common.released(tasks, keeps=True)(iter([batch]))] == [{"a": [1, 2]}]
+    assert common.process_cache("one", lambda: [2]) == [1]
+    assert [x.to_pydict() for x in common.released(tasks)(iter([batch, batch]))] == [{"a": [1, 2]}] * 2
+    assert common.process_cache("one", lambda: [2]) == [2]
+    sys.modules.pop("tripmart_llm_process_cache")
+
+
+def test_released_gives_memory_back():
+    def resident():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096 / 1e6
+
+    def tasks(batches):
+        # small pieces below the size that the C library maps apart, and one left on top of them
+        pieces = [bytearray(100_000) for _ in range(3000)]
+        for each in batches:
+            yield each
+        top.append(bytearray(100_000))
+        del pieces
+
+    top, before = [], resident()
+    list(common.released(tasks)(iter([pa.RecordBatch.from_pydict({"a": [1]})])))
+    assert resident() - before < 100

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import with_field
+from tripmart.llm.common import released, with_field
 
 UNKNOWN = "und"
 GRAMS = (1, 2, 3, 4)
@@ -264,7 +264,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     # one task learns, so that neither the sample nor its bags reach the driver
     learned = sample(docs, text, lang).coalesce(1).mapInArrow(
-        learn, "languages array<string>, table binary, bias binary, temperature double, threshold double"
+        released(learn), "languages array<string>, table binary, bias binary, temperature double, threshold double"
     )
     row = learned.first()
     if row is None:  # no partition at all
@@ -307,4 +307,4 @@ def identify(
                 names=schema.names,
             )
 
-    return rows.mapInArrow(tasks, schema)
+    return rows.mapInArrow(released(tasks), schema)

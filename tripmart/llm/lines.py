@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import SPACES, parallel, remove_stored, slices, stored, with_field
+from tripmart.llm.common import SPACES, parallel, released, remove_stored, slices, stored, with_field
 from tripmart.operators.joins import hot_keys
 from tripmart.storage import create_once, new_folder, read_or_empty, remove_folder
 
@@ -161,7 +161,7 @@ def _distinct_keys(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     rows = docs.select(F.col(key).cast("long").alias(key), text)
-    return rows.mapInArrow(tasks, "key binary, doc_id bigint")
+    return rows.mapInArrow(released(tasks), "key binary, doc_id bigint")
 
 
 def _updated_filters(
@@ -334,7 +334,7 @@ class LineIndex:
         (
             rows.repartition(shards, "shard")
             .sortWithinPartitions("shard", "kind")
-            .mapInArrow(_updated_filters, _FILTERS)
+            .mapInArrow(released(_updated_filters), _FILTERS)
             .write.mode("overwrite")
             .parquet(f"{self.folder}/filters={version}")
         )
@@ -369,7 +369,7 @@ class LineIndex:
             probes.union(filters)
             .repartition(max(self._shards, parallel(self.spark)), "shard")
             .sortWithinPartitions("shard", "kind")
-            .mapInArrow(_probe, "key binary, doc_id bigint")
+            .mapInArrow(released(_probe), "key binary, doc_id bigint")
         )
         lost = ~F.col("last_doc").eqNullSafe(F.col("doc_id"))
         cold = maybe.join(dense, "key").filter(lost)
@@ -415,7 +415,7 @@ def clean(docs: DataFrame, drops: DataFrame, key: str = "doc_id", text: str = "t
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     same = F.col(f"c{names.index(key)}").cast("long").eqNullSafe(F.col("doc_id"))
     joined = plain.join(drops.select("doc_id", "keys"), same, "left").select(*plain.columns, "keys")
-    return joined.mapInArrow(tasks, schema)
+    return joined.mapInArrow(released(tasks), schema)
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

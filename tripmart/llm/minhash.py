@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import components, process_cache, stored, words_of
+from tripmart.llm.common import components, process_cache, released, stored, words_of
 
 SHINGLE_WORDS = 5
 BINS = 128
@@ -427,7 +427,7 @@ def _rooted(docs: DataFrame, key: str, text: str, threshold_percent: int) -> Dat
     )
     sketches = stored(
         rows.mapInArrow(
-            _sketched,
+            released(_sketched, keeps=True),
             "doc_id bigint, mark bigint, n_shingles bigint, digest binary, bands array<bigint>",
         ),
         "sketches",
@@ -452,7 +452,7 @@ def _rooted(docs: DataFrame, key: str, text: str, threshold_percent: int) -> Dat
     texts = rows.join(wanted.hint("merge"), same)
     sets = stored(
         texts.select("doc_id", "text", "digest").mapInArrow(
-            _sets, "digest binary, hashes array<bigint>"
+            released(_sets, keeps=True), "digest binary, hashes array<bigint>"
         ),
         "sets",
     )

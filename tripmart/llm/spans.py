@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import remove_stored, stored, with_field
+from tripmart.llm.common import released, remove_stored, stored, with_field
 
 # A span is the shortest run with so many sentences and words.
 MIN_SENTENCES = 2
@@ -155,7 +155,7 @@ def covered_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     shared = docs.groupBy(document).agg(F.count("*").alias("n")).filter("n > 1")
     mark = F.lit(0).cast("long") if shared.isEmpty() else F.xxhash64(text)
     rows = docs.select(document, mark.alias("mark"), F.col(text).alias("text"))
-    every = stored(rows.mapInArrow(_spans, _SPANS), "spans")
+    every = stored(rows.mapInArrow(released(_spans), _SPANS), "spans")
     # counted by half a digest first: few spans that do not repeat go on from there
     repeated = every.groupBy("one").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = stored(repeated.select("one"), "repeated")
@@ -213,4 +213,4 @@ def dedup_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return joined.mapInArrow(tasks, schema)
+    return joined.mapInArrow(released(tasks), schema)
