@@ -124,3 +124,38 @@ def test_landed_trips_are_those_of_the_sql(spark, rows, raw):
     assert [tuple((x is not None, x) for x in row) for row in ordered] == sorted(
         tuple((x is not None, x) for x in row) for row in ordered
     )
+
+
+def test_a_code_stands_for_the_keys_of_an_item(spark):
+    schema = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double"
+    keys = [(8999940, 1199999, 59999, 7, 3.0), (-8, -9, -31, -6, None), (13, None, 14, 0, 1.0)]
+    keys += [(0, 0, 0, None, 2.0), (None, 6, None, 1, 50.0), (None, None, None, None, None)]
+    joined = spark.createDataFrame([(n, *key) for n, key in enumerate(keys)], f"n int, {schema}")
+    joined = joined.withColumn("o_orderdate", F.lit("1995-03-04").cast("timestamp_ntz"))
+    moved = fixtures.packed(joined).repartitionByRange(3, *map(F.expr, fixtures.PACKED_ORDER))
+    assert moved.columns == ["n", "l_quantity", "o_orderdate", "code"]
+    read = ["l_orderkey % 7", "l_partkey % 7", "l_suppkey % 3", "l_suppkey % 5", "l_linenumber % 7"]
+
+    def seen(frame, *columns):
+        return {row[0]: tuple(row[1:]) for row in frame.selectExpr("n", *columns).collect()}
+
+    times = [text.format(m="m") for text in (fixtures.PICKUP, fixtures.DROPOFF)]
+    assert seen(fixtures.unpacked(moved), *read, *times) == seen(joined, *read, *fixtures.JOINED_ORDER[:2])
+    text = moved._jdf.queryExecution().executedPlan().toString()
+    assert "_common_expr" not in text  # only the packed columns are moved
+    assert seen(moved, *fixtures.PACKED_ORDER) == seen(joined, *fixtures.JOINED_ORDER)
+
+
+def test_landing_moves_codes_instead_of_keys(spark, tmp_path, monkeypatch):
+    ranges = []
+    frame = type(spark.range(0))
+    deal = frame.repartitionByRange
+    monkeypatch.setattr(
+        frame, "repartitionByRange", lambda self, *by: ranges.append(self.columns) or deal(self, *by)
+    )
+    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(9).write.parquet(f"{tmp_path}/{name}.parquet")
+    fixtures.land(spark, str(tmp_path))
+    moved = [columns for columns in ranges if "l_quantity" in columns]
+    assert len(moved) == 1 and len(moved[0]) == 9
+    assert not {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"} & set(moved[0])

@@ -1,6 +1,7 @@
 """Raw trips and zones derived from the driver's tables, landed as monthly files."""
 
 from dataclasses import dataclass
+from math import prod
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +61,24 @@ TRIP_ORDER = ["tpep_pickup_datetime", "tpep_dropoff_datetime"] + [
 JOINED_ORDER = [text.format(m=MINUTE) for text in (PICKUP, DROPOFF)] + [
     "l_suppkey % 3", "l_linenumber % 7", "l_quantity", "l_partkey % 7"
 ]
+# What MEASURES_SQL reads of these columns are remainders by 1440, by 3 and 5, and by 7; a ``code`` holds them all,
+# each in a range of twice its divisor, where 0 stands for null.
+REMAINDERS = {"m": 1440, "l_suppkey": 15, "l_partkey": 7, "l_linenumber": 7, "l_orderkey": 7}
+
+
+def _remainder(name: str) -> str:
+    """The SQL of a column's remainder in a code."""
+    names = list(REMAINDERS)
+    below = prod(2 * REMAINDERS[other] for other in names[names.index(name) + 1 :])
+    found = f"code div {below} % {2 * REMAINDERS[name]}"
+    # nullif would make a column of its own, which would be moved too
+    return f"(case when {found} <> 0 then {found} - {REMAINDERS[name]} end)"
+
+
+# JOINED_ORDER in columns of packed rows.
+PACKED_ORDER = [text.format(m=_remainder("m")) for text in (PICKUP, DROPOFF)] + [
+    f"{_remainder('l_suppkey')} % 3", f"{_remainder('l_linenumber')} % 7", "l_quantity", _remainder("l_partkey")
+]
 # Suppliers that are broadcast; more are shuffled.
 MAX_BROADCAST_SUPPLIERS = 1_000_000
 YEAR_FOLDER = "year={year}"
@@ -87,9 +106,23 @@ def joined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.drop("o_orderkey", "s_suppkey")
 
 
+def packed(joined: DataFrame) -> DataFrame:
+    """Joined rows with a code in place of the columns it is made of, so that a row takes less to move."""
+    code = F.lit(0).cast("long")
+    for name, divisor in REMAINDERS.items():
+        code = code * (2 * divisor) + F.coalesce(F.col(name) % divisor + divisor, F.lit(0))
+    return joined.withColumn("m", F.expr(MINUTE)).withColumn("code", code).drop(*REMAINDERS)
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """Packed rows as joined rows again, with remainders in place of what the code was made of."""
+    return rows.withColumns({name: F.expr(_remainder(name)) for name in REMAINDERS}).drop("code")
+
+
 def measured(joined: DataFrame) -> DataFrame:
     """Raw trips of joined rows, one by one."""
-    joined = joined.withColumn("m", F.expr(MINUTE))
+    if "m" not in joined.columns:
+        joined = joined.withColumn("m", F.expr(MINUTE))
     text = MEASURES_SQL.replace("{pickup}", PICKUP).replace("{dropoff}", DROPOFF).replace("{m}", "m")
     text = text.replace("from b\n", "from {joined}\n")
     return check_contract(joined.sparkSession.sql(text, joined=joined), RAW_TRIP)
@@ -119,15 +152,16 @@ def land(spark: SparkSession, sf_dir: str) -> Landed:
     """Write raw trips as monthly files below a folder per year, once per application.
 
     Rows are range partitioned and sorted, so files in path order hold trips in
-    ``TRIP_ORDER``, as releases in time order do. What moves are the joined rows; a trip's columns
-    and its file are made where it is written.
+    ``TRIP_ORDER``, as releases in time order do. What moves are the joined rows, packed; a trip's
+    columns and its file are made where it is written.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         folder = new_folder(spark, "landed")
         pickup = F.col("tpep_pickup_datetime")
+        moved = packed(joined_rows(spark, sf_dir)).repartitionByRange(*map(F.expr, PACKED_ORDER))
         (
-            measured(joined_rows(spark, sf_dir).repartitionByRange(*map(F.expr, JOINED_ORDER)))
+            measured(unpacked(moved))
             .withColumns(
                 {
                     "year": F.year(pickup),
