@@ -190,6 +190,25 @@ def test_attention_learns_from_every_training_text(spark, monkeypatch):
     assert seen.value == ids
 
 
+def test_attention_deletes_what_a_round_has_moved(spark, monkeypatch):
+    monkeypatch.setattr(attention, "PART_BYTES", 20_000)
+    monkeypatch.setattr(attention, "FEW_BYTES", 1_000)
+    ranks = {bytes((i,)): i for i in range(256)}
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name.split("_")[1] for name in blocks.mkString(",").split(",") if name.startswith("shuffle_")}
+
+    docs, before = _held(spark, [(i, _words(i, 10)) for i in range(3000)]), shuffles()
+    attention.fit(docs, ranks)
+    assert len(shuffles() - before) <= 1  # that of the sum of all sizes
+    words = spark.createDataFrame([(bytearray(b"ab"), 2), (bytearray(b"b"), 1)], "word binary, c bigint")
+    before = shuffles()
+    inner, first, last = attention.count_pairs(attention.spelled_words(words, ranks))
+    assert not shuffles() - before
+    assert inner.sum() == 5 and first.sum() == last.sum() == 3
+
+
 def test_shingle_sets_are_sent_on_in_bounded_batches():
     texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(4000)]
     digests = [minhash.set_digest(minhash.shingles(text, minhash.WordHashes())) for text in texts]
