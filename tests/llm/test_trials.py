@@ -190,6 +190,39 @@ def test_attention_learns_from_every_training_text(spark, monkeypatch):
     assert seen.value == ids
 
 
+def test_scoring_spells_each_word_of_a_block_once(spark, monkeypatch):
+    ranks = {bytes((i,)): i for i in range(256)}
+    asked = spark.sparkContext.accumulator(0)
+    speller = attention.speller
+
+    def counted(ranks):
+        spell = speller(ranks)
+
+        def one(word):
+            asked.add(1)
+            return spell(word)
+
+        return one
+
+    def again(*_):
+        raise AssertionError("texts are spelled again")
+
+    monkeypatch.setattr(attention, "speller", counted)
+    monkeypatch.setattr(attention, "spelled_texts", again)
+    monkeypatch.setattr(attention, "slices", lambda *_: 3)
+    monkeypatch.setattr(attention, "SENT_WORDS", 30)
+    rows = [(i, _words(i % 40, 10) + " common") for i in range(200)] + [(500, None), (501, ""), (None, "alone")]
+    docs = _held(spark, rows).withColumn("held", F.expr("doc_id % 7 = 0"))
+    blocks = docs.select(F.pmod(F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), F.lit(3)), "text").collect()
+    want = {(block, word) for block, text in blocks for word in [*attention.words_of(text), b""]}
+    found = {row["doc_id"]: row for row in attention.score_texts(docs, "held", ranks).collect()}
+    assert asked.value == len(want)
+    assert {doc: row["n_tokens"] for doc, row in found.items()} == {
+        doc: len(attention.words_of(text)) + 1 for doc, text in rows
+    }
+    assert found[1]["n_known"] == 12 and found[None]["n_known"] == 1
+
+
 def test_attention_deletes_what_a_round_has_moved(spark, monkeypatch):
     monkeypatch.setattr(attention, "PART_BYTES", 20_000)
     monkeypatch.setattr(attention, "FEW_BYTES", 1_000)
