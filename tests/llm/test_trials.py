@@ -190,6 +190,27 @@ def test_attention_learns_from_every_training_text(spark, monkeypatch):
     assert seen.value == ids
 
 
+def test_scoring_learns_from_every_training_text_in_every_round(spark, monkeypatch):
+    monkeypatch.setattr(attention, "PART_BYTES", 20_000)
+    monkeypatch.setattr(attention, "FEW_BYTES", 1_000)
+    ranks = {bytes((i,)): i for i in range(256)}
+    seen = [spark.sparkContext.accumulator(0) for _ in range(attention.ROUNDS)]
+    train = attention.train
+
+    def counted(texts, weights, number):
+        seen[number].add(sum(map(len, texts)))
+        return train(texts, weights, number)
+
+    monkeypatch.setattr(attention, "train", counted)
+    rows = [(i, _words(i, 10)) for i in range(3000)] + [(5000 + i, "hot") for i in range(500)] + [(None, None)]
+    docs = _held(spark, rows).withColumn("held", F.expr("coalesce(doc_id % 7 = 0, false)"))
+    attention.score_texts(docs, "held", ranks).collect()
+    learned = [text for doc, text in rows if doc is None or doc % 7]
+    subwords = attention.Subwords(ranks)
+    ids = sum(len(subwords[word]) // 2 for text in learned for word in [*attention.words_of(text), b""])
+    assert [one.value for one in seen] == [ids] * attention.ROUNDS
+
+
 def test_scoring_spells_each_word_of_a_block_once(spark, monkeypatch):
     ranks = {bytes((i,)): i for i in range(256)}
     asked = spark.sparkContext.accumulator(0)
