@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_DIR
 from tripmart import schemas
+from tripmart.checks import fixtures
 from tripmart.checks.oracles import ORACLES
 from tripmart.checks.queries import QUERIES
 from tripmart.jobs import run
@@ -360,3 +361,47 @@ def test_a_pair_that_is_hot_in_no_load_is_split_over_all(spark, raw, zones, conf
     spread = stored.fact_trip().filter(F.col("datetimestamp_id") == hot[0]["datetime_id"])
     largest = spread.groupBy(F.pmod(F.xxhash64("trip_id"), F.lit(4))).count().agg(F.max("count")).first()[0]
     assert largest < 2 * 40
+
+
+def _own_tables(spark, folder):
+    day = "timestamp_ntz '1996-01-01' + make_dt_interval(cast(id % 700 as int))"
+    made = {
+        "lineitem": [
+            "id as l_orderkey", "id % 9 as l_partkey", "id % 4 as l_suppkey", "cast(1 + id % 5 as int) as l_linenumber",
+            "cast(2 + id % 40 as double) as l_quantity", "cast(100 + id as double) as l_extendedprice",
+            "0.05D as l_discount", "0.02D as l_tax", "'N' as l_returnflag", "'O' as l_linestatus", f"{day} as l_shipdate",
+        ],
+        "orders": ["id as o_orderkey", "id % 10 as o_custkey", f"{day} as o_orderdate"],
+        "customer": ["id as c_custkey", "cast(id % 3 as int) as c_nationkey"],
+        "supplier": ["id as s_suppkey", "cast(id % 3 as int) as s_nationkey"],
+        "nation": ["cast(id as int) as n_nationkey", "concat('N', id) as n_name", "cast(0 as int) as n_regionkey"],
+        "region": ["cast(0 as int) as r_regionkey", "'R' as r_name"],
+    }
+    rows = {"customer": 10, "supplier": 4, "nation": 3, "region": 1}
+    for name, columns in made.items():
+        spark.range(rows.get(name, 3000)).selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_what_landing_and_facts_have_moved_is_deleted_when_written(spark, tmp_path, monkeypatch):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name.split("_")[1] for name in blocks.mkString(",").split(",") if name.startswith("shuffle_")}
+
+    _own_tables(spark, tmp_path)
+    monkeypatch.setattr(fixtures, "_LANDED", {})
+    before = shuffles()
+    landed = fixtures.land(spark, str(tmp_path))
+    assert not shuffles() - before
+
+    kept, store = {}, wh._Load.store
+
+    def watched(self, df, table):
+        before = shuffles()
+        store(self, df, table)
+        kept[table.name] = shuffles() - before
+
+    monkeypatch.setattr(wh._Load, "store", watched)
+    scan = with_source_row(read_trips(spark, landed.area))
+    loaded = init_warehouse(scan, fixtures.zone_rows(spark, str(tmp_path)), new_folder(spark, "warehouse"))
+    assert not kept["fact_trip"]
+    assert loaded.fact_trip().count() == 3000

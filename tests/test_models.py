@@ -100,6 +100,18 @@ def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
     assert trees(kept) == trees(walked)
 
 
+def test_forest_keeps_no_nodes_that_do_not_fit_in_memory(spark, vectors, monkeypatch):
+    train, _ = models.split(vectors)
+    kept = models.fit_forest(train)
+    bytes_a_row = models.FOREST_ROW_BYTES + models.FOREST_NODE_BYTES
+    assert kept.getCacheNodeIds() and models.cache_bytes(spark) > train.count() * bytes_a_row
+    monkeypatch.setattr(models, "cache_bytes", lambda _: train.count() * bytes_a_row - 1)
+    walked = models.fit_forest(train)
+    assert not walked.getCacheNodeIds()
+    trees = [[tree.toDebugString.split("\n", 1)[1] for tree in model.trees] for model in (kept, walked)]
+    assert trees[0] == trees[1]
+
+
 def test_correlations_agree(warehouse):
     facts = models.trip_features(warehouse)
     matrix = {(r["feature"], r["other"]): r["corr"] for r in models.correlation_matrix(facts).collect()}
