@@ -5,6 +5,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tripmart.plans import models
+from tripmart.storage import file_bytes
 
 
 @pytest.fixture(scope="module")
@@ -103,15 +104,31 @@ def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark):
 def test_forest_keeps_no_nodes_that_do_not_fit_in_memory(spark, vectors, monkeypatch):
     train, _ = models.split(vectors)
     kept = models.fit_forest(train)
-    bytes_a_row = models.FOREST_ROW_BYTES + models.FOREST_NODE_BYTES
-    assert kept.getCacheNodeIds() and models.cache_bytes(spark) > train.count() * bytes_a_row
-    monkeypatch.setattr(models, "cache_bytes", lambda _: train.count() * bytes_a_row - 1)
+    assert kept.getCacheNodeIds()
+    monkeypatch.setattr(models, "cache_bytes", lambda _: 100_000)
     walked = models.fit_forest(train)
     assert not walked.getCacheNodeIds()
     trees = [[tree.toDebugString.split("\n", 1)[1] for tree in model.trees] for model in (kept, walked)]
     assert trees[0] == trees[1]
 
 
+def test_rows_that_fit_are_told_by_their_files_or_their_count(spark, tmp_path, monkeypatch):
+    each = models.FOREST_ROW_BYTES + models.FOREST_NODE_BYTES
+    made = spark.range(1000)
+    made.write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    for rows in (made, stored):
+        monkeypatch.setattr(models, "cache_bytes", lambda _: 1000 * each)
+        assert models.nodes_fit(rows)
+        monkeypatch.setattr(models, "cache_bytes", lambda _: 999 * each)
+        assert models.nodes_fit(rows) == (file_bytes(spark, rows.inputFiles()) // 8 <= 999 and rows is stored)
+    monkeypatch.setattr(models, "cache_bytes", lambda _: 10 * each)
+    assert not models.nodes_fit(stored)
+    monkeypatch.setattr(models, "cache_bytes", lambda _: file_bytes(spark, stored.inputFiles()) // 8 * each)
+    monkeypatch.setattr(type(stored), "count", None)
+    assert models.nodes_fit(stored)
+
+
 def test_correlations_agree(warehouse):
     facts = models.trip_features(warehouse)
     matrix = {(r["feature"], r["other"]): r["corr"] for r in models.correlation_matrix(facts).collect()}
